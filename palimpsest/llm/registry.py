@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from palimpsest.llm.bpe import op8_bpe
+from palimpsest.llm.language_id import op7_language_id
+from palimpsest.llm.quality_classifier import op6_quality_classifier
 from palimpsest.llm.quality_rules import op9_quality_rules
+from palimpsest.llm.sharding import op5_sharding
+from palimpsest.llm.url_filter import op10_url_filter
 
 QUERIES = {
+    "op5_sharding": op5_sharding,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_language_id": op7_language_id,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES: dict[str, str] = {}
