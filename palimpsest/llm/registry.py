@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from palimpsest.llm.bpe import op8_bpe
+from palimpsest.llm import decontamination
 from palimpsest.llm.language_id import op7_language_id
 from palimpsest.llm.pii import op3_pii
 from palimpsest.llm.quality_classifier import op6_quality_classifier
@@ -14,6 +15,7 @@ from palimpsest.llm.url_filter import op10_url_filter
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_pii": op3_pii,
+    "op4_decontamination": decontamination.op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_language_id": op7_language_id,
@@ -22,4 +24,6 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_decontamination": decontamination.ORACLE,
+}
