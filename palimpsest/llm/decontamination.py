@@ -140,8 +140,8 @@ def hits_of(docs: DataFrame, items: DataFrame, k: int, w: int, short: bool) -> D
     return met.select("doc_id", "text_key", "item", (F.col("pos") - F.col("at") + F.col("start")).alias("start"), F.lit(length).alias("size"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, text_key, n_words, hit (word positions), items (ids as strings, sorted) for every row."""
+def hits_by_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, text_key, places (start, size), items (ids as strings, sorted) of the documents with a hit."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words"))
     items = materialize(items.where("item IS NOT NULL").distinct()).where("size(words) > 0")
     short = sorted(r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < WINDOW).distinct().collect())
@@ -149,9 +149,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = hits_of(own, items, K, W, False)
     for m in short:
         hits = hits.unionByName(hits_of(own, items, m, 1, True))
-    hits = hits.groupBy("doc_id", "text_key", "start", "size", "item").agg(F.lit(1).alias("one"))
     # grouped by document: at most its words times the items that share them
-    per_doc = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "size")).alias("places"), F.sort_array(F.collect_set("item")).alias("items"))
+    return hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "size")).alias("places"), F.sort_array(F.collect_set("item")).alias("items"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs."""
+    gone = materialize(hits_by_document(docs, benchmark).select("doc_id", "text_key"))
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return keyed.alias("l").join(gone.alias("r"), same_document(), "left_anti").select(*docs.columns)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_words, hit (word positions), items (ids as strings, sorted) for every row."""
+    per_doc = hits_by_document(docs, benchmark)
     covered = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["start"], p["start"] + p["size"] - 1))))
     per_doc = per_doc.select("doc_id", "text_key", covered.alias("hit"), "items")
     counted = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.size(words_of(F.col("text"))).alias("n_words"))

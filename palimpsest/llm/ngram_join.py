@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import materialize, read
+from palimpsest.llm.spans import same_document
 
 SHINGLE, PERCENT = 5, 80
 BLOCK_TOKENS, BLOCK_DF, FREQUENT = 2_000_000, 4, 200_000
@@ -74,7 +75,7 @@ def node_of(tokens: np.ndarray) -> int:
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, node) of documents, and rows (token, df) of frequent shingles."""
+    """Rows (doc_id, text_key, n, node) of documents, and rows (token, df) of frequent shingles."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,14 +84,14 @@ def profile(docs: DataFrame) -> DataFrame:
         def report() -> pd.DataFrame:
             tokens, df = np.unique(np.concatenate(block), return_counts=True)
             often = df >= max(BLOCK_DF, len(block) // 1000)
-            return pd.DataFrame({"doc_id": None, "n": 0, "node": 0, "token": tokens[often].view(np.int64), "df": df[often], "is_doc": False})
+            return pd.DataFrame({"doc_id": None, "text_key": 0, "n": 0, "node": 0, "token": tokens[often].view(np.int64), "df": df[often], "is_doc": False})
 
         for pdf in batches:
             rows = []
-            for doc_id, text in zip(pdf["doc_id"].array, pdf["text"], strict=True):
+            for doc_id, key, text in zip(pdf["doc_id"].array, pdf["text_key"], pdf["text"], strict=True):
                 tokens = shingles(text)
                 node = node_of(tokens)
-                rows.append((doc_id, len(tokens), node))
+                rows.append((doc_id, key, len(tokens), node))
                 if len(tokens) and node not in seen:
                     seen.add(node)
                     block.append(tokens)
@@ -98,12 +99,13 @@ def profile(docs: DataFrame) -> DataFrame:
                 if size >= BLOCK_TOKENS:
                     yield report()
                     block, size, seen = [], 0, set()
-            out = pd.DataFrame(rows, columns=["doc_id", "n", "node"])
+            out = pd.DataFrame(rows, columns=["doc_id", "text_key", "n", "node"])
             yield out.assign(token=0, df=0, is_doc=True)
         if block:
             yield report()
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n int, node long, token long, df long, is_doc boolean")
+    keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+    return keyed.mapInPandas(run, f"doc_id {kind}, text_key long, n int, node long, token long, df long, is_doc boolean")
 
 
 def choose_level(order_df: np.ndarray, first: int, size: int) -> int:
@@ -224,11 +226,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, node (its class of equal sets) for every row of ``docs``."""
+    """doc_id, text_key, n_shingles, component_id, group (of the component, null for empty sets) for every row of ``docs``."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     both = materialize(profile(docs))
-    rows = both.where("is_doc").select("doc_id", "n", "node")
+    rows = both.where("is_doc").select("doc_id", "text_key", "n", "node")
     top = both.where("NOT is_doc").groupBy("token").agg(F.sum("df").alias("df")).orderBy(F.desc("df"), "token").limit(FREQUENT).toPandas()
     tokens = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
@@ -257,9 +259,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     classes = reps.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = classes.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    classes = materialize(classes.join(named, "comp").select("node", "component_id"))
+    classes = materialize(classes.join(named, "comp").select("node", "component_id", F.col("comp").alias("group")))
     out = rows.join(classes, "node", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "node")
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "group", "text_key")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row of the least id stays.
+
+    Empty documents are their own components.  The rows that go are joined to the documents;
+    up to ``BROADCAST_ROWS`` of them no text is shuffled.
+    """
+    named = materialize(near_duplicates(docs).where("n_shingles > 0"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("c")
+    chosen = named.groupBy("group").agg(first).select("c.doc_id", "c.text_key", F.lit(True).alias("stays"))
+    rows = named.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
+    told = rows.alias("l").join(chosen.alias("r"), same_document(), "left").select("l.doc_id", "l.text_key", "copies", "stays")
+    told = materialize(told.where("stays IS NULL OR copies > 1"))
+    gone, repeated = told.where("stays IS NULL"), told.where("stays")
+    if told.count() <= BROADCAST_ROWS:
+        gone, repeated = F.broadcast(gone), F.broadcast(repeated)
+    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = keyed.alias("l").join(gone.alias("r"), same_document(), "left_anti")
+    if not told.where("stays").isEmpty():
+        again = kept.alias("l").join(repeated.alias("r"), same_document(), "left_semi").dropDuplicates(["doc_id", "text_key"])
+        kept = kept.alias("l").join(repeated.alias("r"), same_document(), "left_anti").unionByName(again)
+    return kept.select(*docs.columns)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

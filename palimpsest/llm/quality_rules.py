@@ -188,7 +188,7 @@ def judge(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: fl
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for text in pdf["_text"]:
+            for text in pdf["text" if "text" in carried else "_text"]:
                 text = text or ""
                 base = count_base(text)
                 part = share(text)
@@ -198,7 +198,7 @@ def judge(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: fl
                 got.insert(i, c, pdf[c].array)
             yield got
 
-    return docs.select(*[F.col(f"`{c}`") for c in carried], F.col("text").alias("_text")).mapInPandas(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in carried], *([] if "text" in carried else [F.col("text").alias("_text")])).mapInPandas(run, schema)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
