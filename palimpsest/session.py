@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
@@ -27,3 +28,16 @@ def prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
         return query(spark, sf_dir)
 
     return run
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` in the shared folder that ``spark.checkpoint.dir`` names and read it back.
+
+    Cuts lineage in a way that survives lost executors; only where the setting is missing
+    (local tests) is a folder under /tmp used.
+    """
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/palimpsest-checkpoints"
+    path = f"{base.rstrip('/')}/palimpsest/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
