@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from palimpsest.plans import evidence, graph, merges, scalars, search
+from palimpsest.plans.registry import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "evidence", "graph", "merges", "scalars", "search"]
