@@ -18,7 +18,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"li": {"li", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"tr", "td", "th", "p"}, "p": {"p"}, "div": {"p"}, "table": {"p"}, "ul": {"p"}, "option": {"option"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}}
 BARRIERS = frozenset({"table", "div", "ul", "ol", "html", "body", "select", "dl"})
 #: Elements that are not published.
-DROPPED = frozenset("applet base embed frame frameset iframe meta noscript object portal script template".split())
+DROPPED = frozenset("animate animatemotion animatetransform applet base discard embed foreignobject frame frameset iframe object script set".split())
 
 
 class Node:
