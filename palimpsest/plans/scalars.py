@@ -85,3 +85,27 @@ def username_norm(t: Tables) -> DataFrame:
 def json_props(t: Tables) -> DataFrame:
     """Fields of JSON columns."""
     return t.events.select("event_id", F.get_json_object("props", "$.page").alias("page"), F.size(F.json_object_keys("props")).cast("bigint").alias("keys"))
+
+
+@query("SELECT conv_id AS topic_id, turn + 1 AS post_id, role AS author_name, strftime(TIMESTAMP '2004-01-01 10:00:00' + to_days(CAST(turn AS INTEGER)), '%Y-%m-%dT%H:%M:%S') AS posted_at FROM conversations")
+def parsed_posts(t: Tables) -> DataFrame:
+    """Posts read from pages of a bulletin board made of ``conversations``."""
+    from palimpsest.functions import forum
+
+    day = F.date_format(F.date_add(F.lit("2004-01-01").cast("date"), F.col("turn").cast("int")), "EEE MMM d, yyyy")
+    text = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    post = F.format_string("<table><tr><td><a name='p%d'></a><b class='postauthor'>%s</b></td><td>Posted: %s 10:00 am</td></tr><tr><td colspan=2><div class='postbody'>%s</div></td></tr></table>", F.col("turn") + 1, F.col("role"), day, text)
+    pages = t.conversations.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", post.alias("p")))), lambda x: x["p"]), "").alias("html"))
+    url = F.format_string("http://forum.example.net/phpbb3/viewtopic.php?t=%d", F.col("conv_id"))
+    captures = pages.select(F.concat(F.lit("<html><body>"), "html", F.lit("</body></html>")).cast("binary").alias("content"), url.alias("original_url"), F.lit("phpbb3").alias("era"))
+    return forum.posts_of(forum.parse_pages(captures)).select("topic_id", "post_id", "author_name", "posted_at")
+
+
+@query()
+def static_routes(t: Tables) -> DataFrame:
+    """Routes of addresses of all forms."""
+    from palimpsest.functions import routes
+
+    forms = ("http://forum.example.net/phpbb3/viewtopic.php?f=2&t={}", "http://forum.example.net/phpbb2/viewforum.php?f={}&start=50", "http://example.net/forum/topic.asp?TOPIC_ID={}&whichpage=2", "http://forum.example.net/forums/thread/{}.aspx", "http://forum.example.net/phpbb3/posting.php?t={}", "http://forum.example.net/phpbb3/faq.php?x={}", "http://other.example/{}")
+    url = F.element_at(F.array(*[F.concat(F.lit(a), F.col("doc_id").cast("string"), F.lit(b)) for a, b in (f.split("{}") for f in forms)]), (F.col("doc_id") % len(forms) + 1).cast("int"))
+    return t.documents.select("doc_id", routes.static_route()(url, F.lit("20080101000000")).alias("route"))
