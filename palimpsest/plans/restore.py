@@ -179,7 +179,7 @@ def resource_closure(archive: Archive, pages: DataFrame, profile: SiteProfile =
     placed = placed.drop("target").join(first, "identity")
     both = placed.select("canonical_url", "timestamp", "capture_id", "sha256", "original_url", "mimetype", "target")
     asked = placed.where("requested_url IS NOT NULL").select(urls.canonical_url(profile)("requested_url").alias("canonical_url"), "timestamp", "capture_id", "sha256", "original_url", "mimetype", "target")
-    candidates = materialize(both.union(asked.join(both.select("canonical_url", "capture_id"), ["canonical_url", "capture_id"], "left_anti")))
+    candidates = materialize(both.unionByName(asked.join(both.select("canonical_url", "capture_id"), ["canonical_url", "capture_id"], "left_anti")))
     wanted = materialize(archive.references.where("kind IN ('asset', 'attachment')").select(F.col("capture_id").alias("referrer"), F.col("target_url").alias("canonical_url")))
 
     def hop(referrers: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ def entity_pages(plan: DataFrame, archive: Archive) -> DataFrame:
     kinds = {k: plan.where(F.col("kind") == k) for k in ("topicos", "foruns", "usuarios")}
     of_topics = archive.posts.join(kinds["topicos"].select("era", F.col("id").alias("topic_id")), ["era", "topic_id"], "left_semi").groupBy("era", "topic_id").agg(F.max("topic_title").alias("title"), joined("posted_at", "identity_sha256").alias("body")).select("era", F.lit("topicos").alias("kind"), F.col("topic_id").alias("id"), "title", "body")
     people = archive.users.join(kinds["usuarios"].select("era", F.col("id").alias("historical_id")), ["era", "historical_id"], "left_semi")
-    of_users = archive.posts.drop("era").join(people.select("user_identity", "era", "historical_id", "username"), "user_identity").groupBy("era", "historical_id", "username").agg(joined("posted_at", "identity_sha256").alias("body")).select("era", F.lit("usuarios"), "historical_id", "username", "body")
+    of_users = archive.posts.drop("era", "historical_id").join(people.select("user_identity", "era", "historical_id", "username"), "user_identity").groupBy("era", "historical_id", "username").agg(joined("posted_at", "identity_sha256").alias("body")).select("era", F.lit("usuarios"), "historical_id", "username", "body")
     item = F.concat(F.lit("<li>"), esc(F.col("title")), F.lit("</li>"))
     rows = archive.topics.join(kinds["foruns"].select("era", F.col("id").alias("forum_id")), ["era", "forum_id"], "left_semi").groupBy("era", "forum_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("last_posted_at", "topic_id", item.alias("item")))), lambda x: x["item"]), "").alias("body"))
     of_forums = rows.join(archive.forums.select("era", "forum_id", "name"), ["era", "forum_id"]).select("era", F.lit("foruns"), "forum_id", "name", "body")
