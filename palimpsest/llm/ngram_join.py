@@ -5,16 +5,17 @@ equal sets are one node, so copies are compared once.  All sets are ordered alik
 known as frequent by hash, then frequent ones by rising frequency.  If two sets of sizes n and m
 share at least ceil(t * max(n, m)) elements, their prefixes of n - ceil(t n) + l and
 m - ceil(t m) + l elements share at least l.  Each document picks its l from an estimate of
-candidates: those that share l prefix elements share one outside the l - 1 most frequent, so
-the frequencies of the others bound them.  A pair is verified, on whole sets, only if it shares
-min(l) elements of its prefixes of that level.
+candidates: each element of its first prefix brings the sets known to hold it and ``PRIOR``
+unrelated ones, and each further match that is asked for leaves ``DECAY`` of them.  A pair is
+verified, on whole sets, only if it shares min(l) elements of its prefixes of that level.
 
 Frequencies come from all documents: blocks of shingles report those in ``BLOCK_DF`` or more
 of their sets, and the reports are summed.  They steer order and l, never the outcome; at most
 ``FREQUENT`` of them are kept.
 
 Large groups of near copies cost no pair list.  First every node is paired only with the least
-and the greatest node of each of its prefix elements and links join components.  Then only
+and the greatest node of its prefix elements, where these are the same for at least three in
+ten of them, and links join components.  Then only
 pairs of nodes of different components that share enough prefix elements are left, and all of
 them are verified.  No link between components can be missed.
 
@@ -41,7 +42,8 @@ from palimpsest.llm.spans import same_document
 
 SHINGLE, PERCENT = 5, 80
 BLOCK_TOKENS, BLOCK_DF, FREQUENT = 2_000_000, 4, 200_000
-LEVELS, VERIFY_COST = 4, 20
+#: Greatest l; unlisted elements that a set shares with unrelated sets; what one more match leaves of those.
+LEVELS, PRIOR, DECAY = 16, 0.05, 0.5
 BROADCAST_ROWS = 200_000
 WORD_CACHE = 400_000
 _words: dict[bytes, int] = {}
@@ -108,16 +110,22 @@ def profile(docs: DataFrame) -> DataFrame:
     return keyed.mapInPandas(run, f"doc_id {kind}, text_key long, n int, node long, token long, df long, is_doc boolean")
 
 
-def choose_level(order_df: np.ndarray, first: int, size: int) -> int:
-    """l of least estimated cost; ``order_df`` are the frequencies along the set's order."""
-    best, cost = 1, None
-    for level in range(1, min(LEVELS, size - first + 1) + 1):
-        prefix = np.sort(order_df[: first + level - 1])
-        bound = int(prefix[: len(prefix) - level + 1].sum()) if prefix[-1] > 1 else len(prefix) - level + 1
-        own = len(prefix) + VERIFY_COST * (bound - (len(prefix) - level + 1))
-        if cost is None or own < cost:
-            best, cost = level, own
-    return best
+def first_prefix(size: int) -> int:
+    """Length of the prefix for l = 1."""
+    return size - (PERCENT * size + 99) // 100 + 1
+
+
+@lru_cache(maxsize=100_000)
+def choose_level(size: int, frequent: int = 0) -> int:
+    """l of least estimated cost for a set of ``size`` elements.
+
+    ``frequent`` is the sum of the other holders of the first prefix's frequent elements.
+    Each element more is one to join; each candidate costs a set to verify, and each further
+    match that is asked for leaves ``DECAY`` of the candidates.
+    """
+    first = first_prefix(size)
+    levels = range(1, min(LEVELS, size - first + 1) + 1)
+    return min(levels, key=lambda n: n + size * (frequent + PRIOR * first) * DECAY ** (n - 1))
 
 
 def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -135,7 +143,7 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
                 if not size or (node := node_of(tokens)) in seen:
                     continue
                 seen.add(node)
-                first = size - (PERCENT * size + 99) // 100 + 1
+                first = first_prefix(size)
                 df = np.ones(size, np.int64)
                 if len(hot):
                     at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
@@ -144,7 +152,7 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
                         df[known] = hot_df[at[known]]
                         order = np.argsort(df, kind="stable")  # ties stay in the order of hashes
                         tokens, df = tokens[order], df[order]
-                ell = choose_level(df, first, size) if df[: first + LEVELS - 1].max() > 1 else 1
+                ell = choose_level(size, int((df[:first] - 1).sum()))
                 length = first + ell - 1
                 level = np.maximum(1, np.arange(length) - first + 2)
                 parts.append((tokens[:length].view(np.int64), np.full(length, node), np.full(length, size), level, np.full(length, ell), df[:length] > 1))
@@ -239,7 +247,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     ends = [shared.select("node", "n", F.col(f"{e}.node").alias("other"), F.col(f"{e}.n").alias("m")) for e in ("lo", "hi")]
     star = ends[0].union(ends[1]).where(F.col("node") != F.col("other")).where(_long_enough("n", "m"))
-    star = materialize(star.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+    # only a start: pairs that are left out here are met again below
+    least = F.min(F.least("n", "m")).alias("size")
+    star = star.groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(F.count("*").alias("met"), least)
+    star = materialize(star.where(F.col("met") * 10 >= F.ceil(F.col("size") * (100 - PERCENT) / 100) * 3).select("a", "b"))
     links = verify(star, docs, reps)
     comps = components(links)
 
