@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import materialize, read
-from palimpsest.llm.spans import same_document
+from palimpsest.llm.spans import of_document, same_document
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, K = 10, 5
@@ -158,8 +158,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     gone = materialize(hits_by_document(docs, benchmark).select("doc_id", "text_key"))
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return keyed.alias("l").join(gone.alias("r"), same_document(), "left_anti").select(*docs.columns)
+    return docs.alias("l").join(gone.alias("r"), of_document(), "left_anti")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

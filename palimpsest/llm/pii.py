@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import materialize, read
-from palimpsest.llm.spans import NO_SPANS, digest_text, find, none, replace_spans, same_document
+from palimpsest.llm.spans import NO_SPANS, digest_text, find, none, of_document, replace_spans, same_document
 
 #: The patterns of the contract, with possessive loops where these can't change a match.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -125,7 +125,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     added = materialize(disclosing_spans(docs, found))
     if added.count() <= BROADCAST_ROWS:
         added = F.broadcast(added)
-    own = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit("")))).alias("l").join(added.alias("r"), same_document(), "left")
+    own = docs.alias("l").join(added.alias("r"), of_document(), "left")
     text = F.coalesce(F.col("l.text"), F.lit(""))
     spans = F.concat(*base_spans(text).values(), F.coalesce("r.added", none()))
     label = lambda s: F.when(s["kind"] == "remove", F.lit("")).when(s["kind"] == "generalise", F.lit("[TERM]")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))

@@ -55,3 +55,9 @@ def replace_spans(text: Column, spans: Column, label) -> Column:
 def same_document(left: str = "l", right: str = "r") -> Column:
     """Equality of (id, text hash), under which rows with equal ids but other texts stay apart."""
     return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.text_key") == F.col(f"{right}.text_key"))
+
+
+def of_document(left: str = "l", right: str = "r") -> Column:
+    """The same for whole documents on the left: their key is computed, so no column of theirs can clash."""
+    key = F.xxhash64(F.coalesce(F.col(f"{left}.text"), F.lit("")))
+    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (key == F.col(f"{right}.text_key"))
