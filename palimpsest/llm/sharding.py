@@ -36,81 +36,86 @@ SLOT_ROWS = 50_000
 
 @dataclass
 class Node:
-    """Shards ``first`` to ``first + count - 1``; the cut is set once it is known."""
+    """Shards ``first`` to ``first + count - 1``, to be cut along dimension number ``dim``."""
 
     first: int
     count: int
-    dim: str = ""
+    total: int = 0
+    dim: int = 0
     low: float = 0.0
     extent: float = 1.0
     cut: int = 0
-    left: Node | None = None
-    right: Node | None = None
-
-    def key(self) -> Column:
-        """The 56-bit place of a row along this node's dimension."""
-        steps = (1 << VALUE_BITS) - 1
-        value = F.floor((F.col(self.dim) - F.lit(self.low)) / F.lit(self.extent) * steps).cast("long")
-        value = F.least(F.greatest(value, F.lit(0).cast("long")), F.lit(steps).cast("long"))
-        return F.shiftleft(value, GROUP_BITS + ID_BITS) + F.col("_tie")
-
-    def leaf(self) -> Column:
-        """First shard of the node that a row falls in."""
-        if self.left is None:
-            return F.lit(self.first)
-        return F.when(self.key() < F.lit(self.cut), self.left.leaf()).otherwise(self.right.leaf())
-
-
-def leaves(node: Node) -> list[Node]:
-    return [node] if node.left is None else [*leaves(node.left), *leaves(node.right)]
-
-
-def grow(points: DataFrame, dims: list[str], shards: int, weight: str = "size") -> Node:
-    """The tree over ``points``, which has the dims as doubles, the weight and ``_tie``."""
-    root = Node(0, shards)
-    whole: dict[str, float] | None = None
-    while todo := [n for n in leaves(root) if n.count > 1]:
-        at = points.withColumn("_node", root.leaf()).where(F.col("_node").isin([n.first for n in todo]))
-        extremes = [f(d).alias(f"{a}_{d}") for d in dims for f, a in ((F.min, "lo"), (F.max, "hi"))]
-        stats = {r["_node"]: r for r in at.groupBy("_node").agg(F.sum(weight).alias("total"), *extremes).collect()}
-        if whole is None:
-            whole = {d: max((r[f"hi_{d}"] - r[f"lo_{d}"] for r in stats.values()), default=0.0) or 1.0 for d in dims}
-        goal: dict[int, float] = {}
-        for n in todo:
-            r = stats.get(n.first)
-            n.dim = max(dims, key=lambda d: (r[f"hi_{d}"] - r[f"lo_{d}"]) / whole[d]) if r else dims[0]
-            n.low = r[f"lo_{n.dim}"] if r else 0.0
-            n.extent = (r[f"hi_{n.dim}"] - n.low if r else 0.0) or 1.0
-            goal[n.first] = (r["total"] if r else 0) * ((n.count + 1) // 2) / n.count
-        by_first = {n.first: n for n in todo}
-        slack = {n.first: TOLERANCE * (stats[n.first]["total"] if n.first in stats else 0) / n.count for n in todo}
-        prefix = dict.fromkeys(by_first, 0)
-        open_, shift = [f for f in by_first if f in stats], KEY_BITS
-        while open_:
-            shift, above = max(0, shift - BITS), shift
-            key, want = F.lit(None).cast("long"), F.lit(None).cast("long")
-            for f in open_:
-                key = F.when(F.col("_node") == f, by_first[f].key()).otherwise(key)
-                want = F.when(F.col("_node") == f, F.lit(prefix[f])).otherwise(want)
-            bins = at.withColumn("_key", key).where(F.shiftright("_key", above) == want)
-            bins = bins.groupBy("_node", F.shiftright("_key", shift).alias("bin")).agg(F.sum(weight).alias("w"))
-            found: dict[int, list[tuple[int, int]]] = {}
-            for r in bins.collect():
-                found.setdefault(r["_node"], []).append((r.bin, r.w))
-            for f in list(open_):
-                rest = goal[f]
-                for b, w in sorted(found[f]):
-                    if w > rest or b == max(found[f])[0]:
-                        break
-                    rest -= w
-                prefix[f], goal[f] = b, rest
-                if w <= slack[f] or shift == 0:
-                    by_first[f].cut = (b + (rest > w / 2)) << shift
-                    open_.remove(f)
-        for n in todo:
-            half = (n.count + 1) // 2
-            n.left, n.right = Node(n.first, half), Node(n.first + half, n.count - half)
-    return root
+
+    @property
+    def half(self) -> int:
+        return (self.count + 1) // 2
+
+
+def _placed(rows: DataFrame, nodes: list[tuple[Node, int]], dims: list[str]) -> DataFrame:
+    """Rows of these nodes with ``_key``, their 56-bit place along the node's dimension, and the node's ``_goal``.
+
+    The nodes, at most as many as shards, come by a broadcast join; a CASE over them would be
+    copied into every condition.
+    """
+    own = rows.sparkSession.createDataFrame([(n.first, n.dim + 1, n.low, n.extent, goal) for n, goal in nodes], "shard int, _dim int, _low double, _extent double, _goal long")
+    steps = (1 << VALUE_BITS) - 1
+    place = F.element_at(F.array(*dims), F.col("_dim"))
+    value = F.floor((place - F.col("_low")) / F.col("_extent") * steps).cast("long")
+    value = F.least(F.greatest(value, F.lit(0).cast("long")), F.lit(steps).cast("long"))
+    return rows.join(F.broadcast(own), "shard").withColumn("_key", F.shiftleft(value, GROUP_BITS + ID_BITS) + F.col("_tie"))
+
+
+def _cuts(rows: DataFrame, nodes: list[Node], dims: list[str], weight: str) -> None:
+    """Set each node's ``cut``, the key that parts its bytes in proportion to its halves' shards."""
+    goal = {n.first: n.total * n.half / n.count for n in nodes}
+    prefix = dict.fromkeys(goal, 0)
+    open_, shift = list(nodes), KEY_BITS
+    while open_:
+        shift, above = max(0, shift - BITS), shift
+        bins = _placed(rows, [(n, prefix[n.first]) for n in open_], dims).where(F.shiftright("_key", above) == F.col("_goal"))
+        found: dict[int, list[tuple[int, int]]] = {}
+        for r in bins.groupBy("shard", F.shiftright("_key", shift).alias("bin")).agg(F.sum(weight).alias("w")).collect():
+            found.setdefault(r.shard, []).append((r.bin, r.w))
+        left = []
+        for n in open_:
+            rest, own = goal[n.first], sorted(found[n.first])
+            for b, w in own:
+                if w > rest or b == own[-1][0]:
+                    break
+                rest -= w
+            prefix[n.first], goal[n.first] = b, rest
+            if w <= TOLERANCE * n.total / n.count or shift == 0:
+                n.cut = (b + (rest > w / 2)) << shift
+            else:
+                left.append(n)
+        open_ = left
+
+
+def grow(points: DataFrame, dims: list[str], shards: int, weight: str = "size") -> DataFrame:
+    """``points`` (the dims as doubles, the weight, ``_tie``) with the leaf of each row as ``shard``.
+
+    After each level the narrow rows are written with their node, so plans stay small.
+    """
+    rows = points.withColumn("shard", F.lit(0))
+    nodes = [Node(0, shards)]
+    whole: list[float] | None = None
+    while nodes := [n for n in nodes if n.count > 1]:
+        extremes = [f(d).alias(f"{a}{i}") for i, d in enumerate(dims) for f, a in ((F.min, "lo"), (F.max, "hi"))]
+        stats = {r.shard: r for r in rows.groupBy("shard").agg(F.sum(weight).alias("total"), *extremes).collect()}
+        width = lambda r: [r[f"hi{i}"] - r[f"lo{i}"] for i in range(len(dims))]
+        whole = whole or [max((width(r)[i] for r in stats.values()), default=0.0) or 1.0 for i in range(len(dims))]
+        full = [n for n in nodes if n.first in stats]
+        for n in full:
+            r = stats[n.first]
+            n.total, n.dim = r.total, max(range(len(dims)), key=lambda i: width(r)[i] / whole[i])
+            n.low, n.extent = r[f"lo{n.dim}"], width(r)[n.dim] or 1.0
+        if full:
+            _cuts(rows, full, dims, weight)
+            moved = _placed(rows, [(n, n.cut) for n in full], dims).join(F.broadcast(rows.sparkSession.createDataFrame([(n.first, n.first + n.half) for n in full], "shard int, _right int")), "shard")
+            moved = moved.withColumn("shard", F.when(F.col("_key") < F.col("_goal"), F.col("shard")).otherwise(F.col("_right"))).select(*rows.columns)
+            rows = materialize(moved.unionByName(rows.where(~F.col("shard").isin([n.first for n in full]))))
+        nodes = [child for n in full for child in (Node(n.first, n.half), Node(n.first + n.half, n.count - n.half))]
+    return rows
 
 
 def shard_by_bytes(docs: DataFrame, shards: int, dims: dict[str, Column], text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -121,8 +126,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, dims: dict[str, Column], text_c
     group = F.shiftrightunsigned(F.xxhash64("text_crc32", "size"), 64 - GROUP_BITS)
     own = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string")), 64 - ID_BITS)
     points = materialize(points.withColumn("_tie", F.shiftleft(group, ID_BITS) + own))
-    root = grow(points, list(places), shards)
-    rows = points.select(id_col, "size", "text_crc32", "_tie", root.leaf().alias("shard"))
+    rows = grow(points, list(places), shards).select(id_col, "size", "text_crc32", "_tie", "shard")
     buckets = max(1, math.ceil(points.count() / (shards * SLOT_ROWS)))
     rows = rows.withColumn("_bucket", F.pmod("_tie", F.lit(buckets)))
     counts = rows.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
