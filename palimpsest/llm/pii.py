@@ -79,6 +79,21 @@ def detect(docs: DataFrame, window: int = 60) -> DataFrame:
     return materialize(rows.select("doc_id", "text_key", "base", near.alias("near")))
 
 
+def term_frequency(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """term, n_t: the number of distinct texts with each term of the corpus.
+
+    Words are summed before any join, so rows grow with the vocabulary.  Of c equal texts each
+    counts 1 / c; those are joined to their documents by a broadcast up to ``BROADCAST_ROWS``.
+    """
+    copies = materialize(found.groupBy("text_key").agg(F.count("*").alias("copies")).where("copies > 1"))
+    if copies.count() <= BROADCAST_ROWS:
+        copies = F.broadcast(copies)
+    own = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("text_key"), "text").join(copies, "text_key", "left")
+    terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    words = own.select(F.coalesce("copies", F.lit(1)).alias("copies"), F.explode_outer(terms).alias("term"))
+    return words.where("term IS NOT NULL").groupBy("term").agg(F.round(F.sum(1 / F.col("copies"))).cast("bigint").alias("n_t"))
+
+
 def disclosing_spans(docs: DataFrame, found: DataFrame, support: int = 3, beta: float = 0.8, remove: float = 0.98) -> DataFrame:
     """doc_id, text_key, added: spans of the terms whose disclosure exceeds the thresholds."""
     near = found.where(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("x"))
@@ -87,14 +102,10 @@ def disclosing_spans(docs: DataFrame, found: DataFrame, support: int = 3, beta:
     pairs = seen.select("entity", F.col("t.value").alias("term"), "text_key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
     pairs = materialize(pairs.where(F.col("n_et") >= support))
     wanted = pairs.select("term").distinct()
-    words = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("text_key"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    if (n := wanted.count()) <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    schema = "term string, n_t long"
-    if n:
-        frequency = words.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    if wanted.isEmpty():
+        frequency = docs.sparkSession.createDataFrame([], "term string, n_t long")
     else:
-        frequency = docs.sparkSession.createDataFrame([], schema)
+        frequency = term_frequency(docs, found).join(wanted, "term")
     texts = found.select("text_key").distinct().count()
     disclosed = F.log2(F.lit(float(max(texts, 1))) * F.col("n_et") / (F.col("n_t") * F.col("n_e")))
     content = F.log2(F.lit(float(max(texts, 1))) / F.col("n_e"))
