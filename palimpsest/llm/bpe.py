@@ -24,13 +24,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import read
+from palimpsest.llm.common import read, release_memory
 
 #: White space as the Unicode property has it, as the body of a character class.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A pre-token never crosses from one of these chunks into the next.
 CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 150_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -214,6 +214,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
             got = pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if keep_ids else [])])
             got.insert(0, id_col, pdf["id"].array)
             yield got
+        release_memory()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, schema)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +48,12 @@ def crc_mod(col: Column, n: int) -> Column:
 def spread(col: Column, seed: int) -> Column:
     """A deterministic hash of an id for ordering samples."""
     return F.xxhash64(col.cast("string"), F.lit(seed))
+
+
+def release_memory() -> None:
+    """Give what a Python worker has freed back to the machine; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -33,19 +33,20 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import materialize, read
-from palimpsest.llm.spans import same_document
+from palimpsest.llm.common import materialize, read, release_memory
+from palimpsest.llm.spans import of_document, same_document
 
 SHINGLE, PERCENT = 5, 80
 BLOCK_TOKENS, BLOCK_DF, FREQUENT = 2_000_000, 4, 200_000
 #: Greatest l; unlisted elements that a set shares with unrelated sets; what one more match leaves of those.
 LEVELS, PRIOR, DECAY = 16, 0.05, 0.5
 BROADCAST_ROWS = 200_000
-WORD_CACHE = 400_000
+WORD_CACHE = 150_000
 _words: dict[bytes, int] = {}
 
 
@@ -105,6 +106,7 @@ def profile(docs: DataFrame) -> DataFrame:
             yield out.assign(token=0, df=0, is_doc=True)
         if block:
             yield report()
+        release_memory()
 
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     return keyed.mapInPandas(run, f"doc_id {kind}, text_key long, n int, node long, token long, df long, is_doc boolean")
@@ -135,8 +137,14 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hot, hot_df = shared.value
         seen: set[int] = set()
+        parts: list[tuple[np.ndarray, ...]] = []
+        held = 0
+
+        def flush() -> pd.DataFrame:
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            return pd.DataFrame(dict(zip(("token", "node", "n", "level", "ell", "hot"), columns, strict=True)))
+
         for pdf in batches:
-            parts = []
             for text in pdf["text"]:
                 tokens = shingles(text)
                 size = len(tokens)
@@ -154,12 +162,16 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
                         tokens, df = tokens[order], df[order]
                 ell = choose_level(size, int((df[:first] - 1).sum()))
                 length = first + ell - 1
-                level = np.maximum(1, np.arange(length) - first + 2)
-                parts.append((tokens[:length].view(np.int64), np.full(length, node), np.full(length, size), level, np.full(length, ell), df[:length] > 1))
-            if parts:
-                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-                for i in range(0, len(columns[0]), 500_000):
-                    yield pd.DataFrame({k: c[i : i + 500_000] for k, c in zip(("token", "node", "n", "level", "ell", "hot"), columns, strict=True)})
+                level = np.maximum(1, np.arange(length) - first + 2).astype(np.int8)
+                # copies: slices would keep whole sets alive
+                parts.append((tokens[:length].view(np.int64).copy(), np.full(length, node), np.full(length, size, np.int32), level, np.full(length, ell, np.int8), df[:length] > 1))
+                held += length
+                if held >= 200_000:
+                    yield flush()
+                    parts, held = [], 0
+        if parts:
+            yield flush()
+        release_memory()
 
     return docs.select("text").mapInPandas(run, "token long, node long, n int, level tinyint, ell tinyint, hot boolean")
 
@@ -189,31 +201,35 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
         wanted = F.broadcast(wanted)
     found = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
 
-    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # record batches are read row by row, so a task holds one batch and two sets at a time
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for pdf in batches:
+        for batch in batches:
             keep = []
-            for node, text in zip(pdf["node"], pdf["text"], strict=True):  # an id may have several texts
-                keep.append(node not in seen and node_of(shingles(text)) == node)
+            for node, text in zip(batch["node"], batch["text"], strict=True):  # an id may have several texts
+                node = node.as_py()
+                keep.append(node not in seen and node_of(shingles(text.as_py())) == node)
                 if keep[-1]:
                     seen.add(node)
-            yield pdf[keep]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
-    texts = materialize(found.mapInPandas(own, "node long, text string"))
+    texts = materialize(found.mapInArrow(own, "node long, text string"))
     sides = pairs.join(texts.dropDuplicates(["node"]).select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     sides = sides.join(texts.dropDuplicates(["node"]).select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
-    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = lru_cache(maxsize=64)(shingles)
-        for pdf in batches:
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = lru_cache(maxsize=16)(shingles)
+        for batch in batches:
             keep = []
-            for ta, tb in zip(pdf["ta"], pdf["tb"], strict=True):
-                x, y = of(ta), of(tb)
+            for ta, tb in zip(batch["ta"], batch["tb"], strict=True):
+                x, y = of(ta.as_py()), of(tb.as_py())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield pdf.loc[keep, ["a", "b"]]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
-    return materialize(sides.select("a", "b", "ta", "tb").mapInPandas(linked, "a long, b long"))
+    return materialize(sides.select("a", "b", "ta", "tb").mapInArrow(linked, "a long, b long"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -290,12 +306,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone, repeated = told.where("stays IS NULL"), told.where("stays")
     if told.count() <= BROADCAST_ROWS:
         gone, repeated = F.broadcast(gone), F.broadcast(repeated)
-    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    kept = keyed.alias("l").join(gone.alias("r"), same_document(), "left_anti")
+    kept = docs.alias("l").join(gone.alias("r"), of_document(), "left_anti")
     if not told.where("stays").isEmpty():
-        again = kept.alias("l").join(repeated.alias("r"), same_document(), "left_semi").dropDuplicates(["doc_id", "text_key"])
-        kept = kept.alias("l").join(repeated.alias("r"), same_document(), "left_anti").unionByName(again)
-    return kept.select(*docs.columns)
+        again = kept.alias("l").join(repeated.alias("r"), of_document(), "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.alias("l").join(repeated.alias("r"), of_document(), "left_anti").unionByName(again)
+    return kept
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import read, spread
+from palimpsest.llm.common import read, release_memory, spread
 
 #: White space that parts words: space and the characters 9 to 13, nothing else.
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -197,6 +197,7 @@ def judge(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: fl
             for i, c in enumerate(carried):
                 got.insert(i, c, pdf[c].array)
             yield got
+        release_memory()
 
     return docs.select(*[F.col(f"`{c}`") for c in carried], *([] if "text" in carried else [F.col("text").alias("_text")])).mapInPandas(run, schema)
 
