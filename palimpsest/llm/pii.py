@@ -2,10 +2,11 @@
 
 A protected entity is the value of a pattern span.  Over the corpus of distinct texts, with N
 texts, n(e) with entity e, n(t) with term t and n(e, t) with t within ``window`` characters of
-e, a term discloses PMI(t; e) = log2(N n(e, t) / (n(t) n(e))) bits of the entity's IC(e) =
-log2(N / n(e)).  A term near e that discloses at least ``beta`` of IC(e), with n(e, t) at least
-``support``, is generalised; one that discloses at least ``remove`` of it is removed.  Both
-become spans beside the pattern spans, which always stay.
+e, a term discloses PMI(t; e) = log2(N P(e|t) / n(e)) bits of the entity's IC(e) = log2(N / n(e)).
+P(e|t) is the lower bound of Wilson's interval for n(e, t) of n(t) texts at ``z`` (one-sided 95 %),
+so every pair is rated, also of entities in one text, and few texts count as weak evidence.  A
+term near e that discloses at least ``beta`` of IC(e) is generalised; one that discloses at least
+``remove`` of it is removed.  Both become spans beside the pattern spans, which always stay.
 
 Counts are distinct (entity, term, text) rows summed with map-side combining, so an entity in a
 third of all texts is spread over its terms.  Only DataFrame expressions run on executors.
@@ -94,20 +95,26 @@ def term_frequency(docs: DataFrame, found: DataFrame) -> DataFrame:
     return words.where("term IS NOT NULL").groupBy("term").agg(F.round(F.sum(1 / F.col("copies"))).cast("bigint").alias("n_t"))
 
 
-def disclosing_spans(docs: DataFrame, found: DataFrame, support: int = 3, beta: float = 0.8, remove: float = 0.98) -> DataFrame:
+def lower_bound(hits: Column, n: Column, z: float) -> Column:
+    """Lower end of Wilson's interval for the share ``hits`` of ``n``; above 0 for any hit."""
+    p = hits / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def disclosing_spans(docs: DataFrame, found: DataFrame, z: float = 1.645, beta: float = 0.8, remove: float = 0.98) -> DataFrame:
     """doc_id, text_key, added: spans of the terms whose disclosure exceeds the thresholds."""
     near = found.where(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("x"))
     seen = near.select("doc_id", "text_key", F.xxhash64("x.entity").alias("entity"), F.explode("x.terms").alias("t"))
     entities = near.select(F.xxhash64("x.entity").alias("entity"), "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = seen.select("entity", F.col("t.value").alias("term"), "text_key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    pairs = materialize(pairs.where(F.col("n_et") >= support))
+    pairs = materialize(pairs)
     wanted = pairs.select("term").distinct()
     if wanted.isEmpty():
         frequency = docs.sparkSession.createDataFrame([], "term string, n_t long")
     else:
         frequency = term_frequency(docs, found).join(wanted, "term")
     texts = found.select("text_key").distinct().count()
-    disclosed = F.log2(F.lit(float(max(texts, 1))) * F.col("n_et") / (F.col("n_t") * F.col("n_e")))
+    disclosed = F.log2(F.lit(float(max(texts, 1))) * lower_bound(F.col("n_et").cast("double"), F.col("n_t").cast("double"), z) / F.col("n_e"))
     content = F.log2(F.lit(float(max(texts, 1))) / F.col("n_e"))
     rated = pairs.join(frequency, "term").join(entities, "entity").withColumn("share", disclosed / F.greatest(content, F.lit(1e-9)))
     rated = rated.where(F.col("share") >= beta).select("entity", "term", (F.col("share") >= remove).alias("gone"))

@@ -67,6 +67,15 @@ def test_terms_that_reveal_an_entity(spark):
     assert "violinist" not in clean[0] and "[EMAIL]" in clean[0] and clean[20] == rows[5][1]
 
 
+def test_terms_that_reveal_a_rare_entity(spark):
+    rows = [(0, "ask the glazier at one@mail.example now"), (1, "ask the farrier at two@mail.example now"), (2, "then the farrier at two@mail.example went")]
+    rows += [(i, f"ask the people at number{i} now and then") for i in range(10, 1200)]
+    got = {r.doc_id: r for r in pii.find_all(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    words = {d: {rows[d][1][s.start : s.end] for s in got[d].added} for d in range(3)}
+    assert "glazier" in words[0] and "farrier" in words[1] & words[2]
+    assert not {"ask", "the", "now"} & set().union(*words.values()) and got[10].added == []
+
+
 def test_odd_rows(odd, none, odd_rows):
     for scan in (secret_scan.scan, pii.find_all):
         got = scan(odd).collect()
