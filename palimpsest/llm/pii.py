@@ -1,15 +1,16 @@
 """PII: pattern spans, and information-theoretic sanitisation of the terms that reveal them.
 
 A protected entity is the value of a pattern span.  Over the corpus of distinct texts, with N
-texts, n(e) with entity e, n(t) with term t and n(e, t) with t within ``window`` characters of
-e, a term discloses PMI(t; e) = log2(N P(e|t) / n(e)) bits of the entity's IC(e) = log2(N / n(e)).
+texts, n(e) with entity e, n(t) with term t and n(e, t) with both anywhere, a term discloses PMI(t; e) = log2(N P(e|t) / n(e)) bits of the entity's IC(e) = log2(N / n(e)).
 P(e|t) is the lower bound of Wilson's interval for n(e, t) of n(t) texts at ``z`` (one-sided 95 %),
-so every pair is rated, also of entities in one text, and few texts count as weak evidence.  A
-term near e that discloses at least ``beta`` of IC(e) is generalised; one that discloses at least
-``remove`` of it is removed.  Both become spans beside the pattern spans, which always stay.
+so every pair is rated, also of entities in one text, and few texts count as weak evidence.  In
+texts with e, a term that discloses at least ``beta`` of IC(e) is generalised; one that discloses
+at least ``remove`` of it is removed.  Each of its occurrences outside the pattern spans becomes a
+span beside those, which always stay.
 
-Counts are distinct (entity, term, text) rows summed with map-side combining, so an entity in a
-third of all texts is spread over its terms.  Only DataFrame expressions run on executors.
+Counts are distinct (entity, term) rows of each distinct text, summed with map-side combining, so
+an entity in a third of all texts is spread over its terms.  Terms and entities are known by
+64-bit hashes.  Only DataFrame expressions run on executors.
 
 Defined results: null text is empty; repeated rows agree, and equal texts count once in the
 statistics; offsets are code points, ends exclusive; extra columns are ignored; an empty table
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import materialize, read
-from palimpsest.llm.spans import NO_SPANS, digest_text, find, none, of_document, replace_spans, same_document
+from palimpsest.llm.spans import NO_SPANS, digest_text, find, none, of_document, overlap, replace_spans, same_document
 
 #: The patterns of the contract, with possessive loops where these can't change a match.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -32,6 +33,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}{3,}+"
 #: Sides beyond this many rows are joined by shuffling.
 BROADCAST_ROWS = 100_000
+#: The same for the disclosing terms of all texts together.
+BROADCAST_TERMS = 1_000_000
 
 
 def _digits(value: Column) -> Column:
@@ -55,33 +58,27 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _terms_near(text: Column, s: Column, window: int) -> Column:
-    """Terms, lower-cased, wholly within ``window`` characters before or after a span."""
-    low = F.greatest(s["start"] - window, F.lit(0))
-    before, after = F.substring(text, low + 1, s["start"] - low), F.substring(text, s["end"] + 1, F.lit(window))
+def _lower(text: Column) -> Column:
+    """Lower case, letter by letter: the letters whose lower case depends on others, or is two, are replaced first."""
+    return F.lower(F.when(text.rlike("[\u0130\u03a3\u03c2]"), F.translate(text, "\u0130\u03a3\u03c2", "i\u03c3\u03c3")).otherwise(text))
 
-    def side(part: Column, offset: Column, inside: Column) -> Column:
-        shifted = F.transform(find(part, TERM, 4, "term"), lambda t: F.struct((t["start"] + offset).alias("start"), (t["end"] + offset).alias("end"), t["rank"], t["kind"], F.lower(t["value"]).alias("value")))
-        return F.filter(shifted, lambda t: (t["start"] > low) & inside(t))
 
-    whole = F.length(text)
-    return F.concat(
-        F.filter(side(before, low, lambda t: F.lit(True)), lambda t: t["end"] < s["start"]),
-        F.filter(side(after, s["end"], lambda t: (t["end"] < s["end"] + window) | (t["end"] == whole)), lambda t: t["start"] > s["end"]),
-    ).cast(NO_SPANS)
+def terms_of(text: Column) -> Column:
+    """Distinct terms of a whole text, lower-cased."""
+    return F.array_distinct(F.regexp_extract_all(_lower(text), F.lit(TERM), F.lit(0)))
 
 
-def detect(docs: DataFrame, window: int = 60) -> DataFrame:
-    """Narrow rows: doc_id, text_key, base spans and the terms near each; written to the shared folder."""
+def detect(docs: DataFrame) -> DataFrame:
+    """Narrow rows: doc_id, text_key, base spans, hashes of the entities and, where there are any, of all terms; written to the shared folder."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    spans = base_spans(F.col("text"))
-    rows = rows.withColumn("base", F.concat(*spans.values())).withColumn("text_key", F.xxhash64("text"))
-    near = F.transform("base", lambda s: F.struct(F.concat_ws(":", s["kind"], s["value"]).alias("entity"), _terms_near(F.col("text"), s, window).alias("terms")))
-    return materialize(rows.select("doc_id", "text_key", "base", near.alias("near")))
+    rows = rows.withColumn("base", F.concat(*base_spans(F.col("text")).values())).withColumn("text_key", F.xxhash64("text"))
+    entities = F.array_distinct(F.transform("base", lambda s: F.xxhash64(F.concat_ws(":", s["kind"], s["value"]))))
+    terms = F.when(F.size("base") > 0, F.transform(terms_of(F.col("text")), lambda t: F.xxhash64(t))).otherwise(F.array().cast("array<bigint>"))
+    return materialize(rows.select("doc_id", "text_key", "base", entities.alias("entities"), terms.alias("terms")))
 
 
 def term_frequency(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """term, n_t: the number of distinct texts with each term of the corpus.
+    """term (hash), n_t: the number of distinct texts with each term of the corpus.
 
     Words are summed before any join, so rows grow with the vocabulary.  Of c equal texts each
     counts 1 / c; those are joined to their documents by a broadcast up to ``BROADCAST_ROWS``.
@@ -90,9 +87,8 @@ def term_frequency(docs: DataFrame, found: DataFrame) -> DataFrame:
     if copies.count() <= BROADCAST_ROWS:
         copies = F.broadcast(copies)
     own = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("text_key"), "text").join(copies, "text_key", "left")
-    terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    words = own.select(F.coalesce("copies", F.lit(1)).alias("copies"), F.explode_outer(terms).alias("term"))
-    return words.where("term IS NOT NULL").groupBy("term").agg(F.round(F.sum(1 / F.col("copies"))).cast("bigint").alias("n_t"))
+    words = own.select(F.coalesce("copies", F.lit(1)).alias("copies"), F.explode_outer(terms_of(F.col("text"))).alias("term"))
+    return words.where("term IS NOT NULL").groupBy(F.xxhash64("term").alias("term")).agg(F.round(F.sum(1 / F.col("copies"))).cast("bigint").alias("n_t"))
 
 
 def lower_bound(hits: Column, n: Column, z: float) -> Column:
@@ -101,34 +97,59 @@ def lower_bound(hits: Column, n: Column, z: float) -> Column:
     return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def disclosing_spans(docs: DataFrame, found: DataFrame, z: float = 1.645, beta: float = 0.8, remove: float = 0.98) -> DataFrame:
-    """doc_id, text_key, added: spans of the terms whose disclosure exceeds the thresholds."""
-    near = found.where(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("x"))
-    seen = near.select("doc_id", "text_key", F.xxhash64("x.entity").alias("entity"), F.explode("x.terms").alias("t"))
-    entities = near.select(F.xxhash64("x.entity").alias("entity"), "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = seen.select("entity", F.col("t.value").alias("term"), "text_key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    pairs = materialize(pairs)
-    wanted = pairs.select("term").distinct()
-    if wanted.isEmpty():
-        frequency = docs.sparkSession.createDataFrame([], "term string, n_t long")
+def disclosing_terms(docs: DataFrame, found: DataFrame, z: float = 1.645, beta: float = 0.8, remove: float = 0.98) -> DataFrame:
+    """text_key, told, gone: hashes of a text's terms whose disclosure reaches ``beta``, and of those that reach ``remove``; written."""
+    held = materialize(found.where(F.size("entities") > 0).select("text_key", "entities", "terms").dropDuplicates(["text_key"]))
+    seen = held.select("text_key", "terms", F.explode("entities").alias("entity")).select("text_key", "entity", F.explode("terms").alias("term"))
+    entities = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    pairs = materialize(seen.groupBy("entity", "term").agg(F.count("*").alias("n_et")))
+    if pairs.isEmpty():
+        frequency = docs.sparkSession.createDataFrame([], "term long, n_t long")
     else:
-        frequency = term_frequency(docs, found).join(wanted, "term")
-    texts = found.select("text_key").distinct().count()
-    disclosed = F.log2(F.lit(float(max(texts, 1))) * lower_bound(F.col("n_et").cast("double"), F.col("n_t").cast("double"), z) / F.col("n_e"))
-    content = F.log2(F.lit(float(max(texts, 1))) / F.col("n_e"))
+        frequency = term_frequency(docs, found)
+    texts = float(max(found.select("text_key").distinct().count(), 1))
+    disclosed = F.log2(F.lit(texts) * lower_bound(F.col("n_et").cast("double"), F.col("n_t").cast("double"), z) / F.col("n_e"))
+    content = F.log2(F.lit(texts) / F.col("n_e"))
     rated = pairs.join(frequency, "term").join(entities, "entity").withColumn("share", disclosed / F.greatest(content, F.lit(1e-9)))
-    rated = rated.where(F.col("share") >= beta).select("entity", "term", (F.col("share") >= remove).alias("gone"))
-    hits = seen.join(rated, (seen["entity"] == rated["entity"]) & (F.col("t.value") == rated["term"]))
-    kind = F.when(F.col("gone"), F.lit("remove")).otherwise(F.lit("generalise"))
-    rank = F.when(F.col("gone"), F.lit(5)).otherwise(F.lit(4))
-    best = hits.groupBy("doc_id", "text_key", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.value").alias("value")).agg(F.max(rank).alias("rank"), F.max(kind).alias("kind"))
-    return best.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "end", "rank", "kind", "value")).cast(NO_SPANS).alias("added"))
+    rated = materialize(rated.where(F.col("share") >= beta).select("entity", "term", (F.col("share") >= remove).alias("gone")))
+    if rated.count() <= BROADCAST_ROWS:
+        rated = F.broadcast(rated)
+    # grouped by text: at most its own terms
+    hits = seen.join(rated, ["entity", "term"])
+    return materialize(hits.groupBy("text_key").agg(F.collect_set("term").alias("told"), F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("gone")))
+
+
+def _added(text: Column, base: str) -> Column:
+    """Every occurrence of the terms in columns told and gone outside the spans of ``base``."""
+    among = lambda terms, t: F.array_contains(F.col(terms), F.xxhash64(_lower(t)))
+    found = F.filter(find(text, TERM, 4, "generalise", wanted=lambda t: among("told", t)), lambda t: ~F.exists(base, lambda b: overlap(b, t)))
+
+    def named(t: Column) -> Column:
+        gone = among("gone", t["value"])
+        return F.struct(t["start"], t["end"], F.when(gone, 5).otherwise(4).alias("rank"), F.when(gone, "remove").otherwise("generalise").alias("kind"), F.lower(t["value"]).alias("value"))
+
+    return F.transform(found, named).cast(NO_SPANS)
+
+
+def disclosing_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, text_key, added: spans of the disclosing terms of the texts that have any.
+
+    Terms are joined to their own texts; texts aren't shuffled while there are at most
+    ``BROADCAST_TERMS``.
+    """
+    told = disclosing_terms(docs, found)
+    if (told.agg(F.sum(F.size("told"))).first()[0] or 0) <= BROADCAST_TERMS:
+        told = F.broadcast(told)
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(told, "text_key")
+    rows = rows.withColumn("base", F.concat(*base_spans(F.col("text")).values()))
+    added = rows.select("doc_id", "text_key", _added(F.col("text"), "base").alias("added"))
+    return added.where(F.size("added") > 0).dropDuplicates(["doc_id", "text_key"])
 
 
 def find_all(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, base, added for every row of ``docs``."""
     found = detect(docs)
-    added = disclosing_spans(docs, found)
+    added = materialize(disclosing_spans(docs, found))
     return found.alias("l").join(added.alias("r"), same_document(), "left").select("l.doc_id", "l.text_key", "base", F.coalesce("added", none()).alias("added"))
 
 
@@ -141,7 +162,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """
     found = detect(docs)
     added = materialize(disclosing_spans(docs, found))
-    if added.count() <= BROADCAST_ROWS:
+    if added.count() <= BROADCAST_ROWS and (added.agg(F.sum(F.size("added"))).first()[0] or 0) <= BROADCAST_TERMS:
         added = F.broadcast(added)
     own = docs.alias("l").join(added.alias("r"), of_document(), "left")
     text = F.coalesce(F.col("l.text"), F.lit(""))

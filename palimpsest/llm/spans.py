@@ -17,10 +17,10 @@ def span(start: Column, end: Column, rank: int, kind: str, value: Column) -> Col
     return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), value.alias("value"))
 
 
-def find(text: Column, pattern: str, rank: int, kind: str, guard: str | None = None) -> Column:
+def find(text: Column, pattern: str, rank: int, kind: str, guard: str | None = None, wanted=None) -> Column:
     """Leftmost non-overlapping matches as spans in code points; ``guard`` is a cheaper necessary pattern.
 
-    The matches and the gaps between them, which ``split`` gives, alternate; one fold adds up
+    Of the matches only those stay for whose text ``wanted`` holds.  The matches and the gaps between them, which ``split`` gives, alternate; one fold adds up
     their lengths.
     """
     steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
@@ -29,7 +29,8 @@ def find(text: Column, pattern: str, rank: int, kind: str, guard: str | None = N
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.length(x["gap"])
         end = begin + F.length(x["hit"])
-        return F.struct(F.coalesce(end, begin).alias("at"), F.when(x["hit"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], F.array(span(begin, end, rank, kind, x["hit"])))).alias("found"))
+        left_out = x["hit"].isNull() if wanted is None else x["hit"].isNull() | ~wanted(x["hit"])
+        return F.struct(F.coalesce(end, begin).alias("at"), F.when(left_out, acc["found"]).otherwise(F.concat(acc["found"], F.array(span(begin, end, rank, kind, x["hit"])))).alias("found"))
 
     return F.when(text.rlike(guard or pattern), F.aggregate(steps, start, step, lambda acc: acc["found"])).otherwise(none())
 
@@ -52,6 +53,10 @@ def replace_spans(text: Column, spans: Column, label) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(F.sort_array(spans), start, step, rest))
 
 
+def overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
 def same_document(left: str = "l", right: str = "r") -> Column:
     """Equality of (id, text hash), under which rows with equal ids but other texts stay apart."""
     return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.text_key") == F.col(f"{right}.text_key"))

@@ -76,6 +76,19 @@ def test_terms_that_reveal_a_rare_entity(spark):
     assert not {"ask", "the", "now"} & set().union(*words.values()) and got[10].added == []
 
 
+def test_terms_count_and_go_over_the_whole_text(spark):
+    far = "so it is " * 30
+    rows = [(i, f"Violinist here {far} bob at bob@mail.example {far} the violinist {i}") for i in range(5)]
+    rows += [(i, f"so it is with number{i} here at the common text") for i in range(10, 60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in pii.find_all(df).collect()}
+    for d, t in rows[:5]:
+        want = [m.span() for m in re.finditer("[Vv]iolinist|bob(?! *@)", t)]
+        assert want[0][0] == 0 and sorted((s.start, s.end) for s in got[d].added) == want
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[0] == rows[0][1].replace("bob@mail.example", "[EMAIL]").replace("bob", "[TERM]").replace("Violinist", "[TERM]").replace("violinist", "[TERM]")
+
+
 def test_odd_rows(odd, none, odd_rows):
     for scan in (secret_scan.scan, pii.find_all):
         got = scan(odd).collect()
