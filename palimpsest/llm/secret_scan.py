@@ -5,8 +5,9 @@ Candidates are the values of all pattern spans and further key-like tokens (20 o
 outside pattern spans).  A value's hash is counted by distinct repository and owner: rows are
 distinct (hash, owner, repository) first, then summed by (hash, owner), then by hash, so a
 value that a third of all rows hold never meets in one task.  Values of at most ``max_owners``
-owners look live; values of more owners are copied examples.  Key-like tokens that look live
-become ``live`` spans; pattern spans always stay.
+owners and ``max_repositories`` repositories look live; values of more owners, or in more
+repositories of few owners, are copied examples.  Key-like tokens that look live become ``live``
+spans; pattern spans always stay.
 
 By default a repository is a document and an owner is its source.  Only DataFrame expressions
 run on executors.
@@ -53,7 +54,7 @@ def key_like(text: Column, base: Column) -> Column:
     return F.filter(find(text, KEY_LIKE, 3, "live", r"[A-Za-z0-9_-]{20,}"), likely)
 
 
-def scan(docs: DataFrame, repository: Column | None = None, owner: Column | None = None, max_owners: int = 2) -> DataFrame:
+def scan(docs: DataFrame, repository: Column | None = None, owner: Column | None = None, max_owners: int = 2, max_repositories: int = 10) -> DataFrame:
     """doc_id, text_key, base and live spans, the values' verdicts and counts for every row of ``docs``."""
     repository = F.col("doc_id") if repository is None else repository
     owner = F.col("source") if owner is None else owner
@@ -68,7 +69,7 @@ def scan(docs: DataFrame, repository: Column | None = None, owner: Column | None
     holders = each.select("hash", "owner", "repository").distinct().groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
     spread = holders.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
     judged = each.select("doc_id", "text_key", "hash", "s").distinct().join(spread, "hash")
-    live = F.col("owners") <= max_owners
+    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     # each row of a document is one candidate, so groups are as large as one text's spans
     verdicts = judged.groupBy("doc_id", "text_key").agg(
         F.collect_list(F.when(live & (F.col("s.kind") == "live"), F.col("s"))).alias("added"),

@@ -56,6 +56,12 @@ def test_ownership_separates_copies_from_live_keys(spark):
     assert got[11].n_live == 2 and got[11].added == []
 
 
+def test_key_in_many_documents_of_one_source_is_copied(spark):
+    rows = [(i, "see zQ9x8W7v6U5t4S3r2P1o here", "s") for i in range(40)]
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert all(r.added == [] and (r.n_live, r.n_copied) == (0, 1) for r in got)
+
+
 def test_terms_that_reveal_an_entity(spark):
     rows = [(i, f"the famous violinist lives{i} near x.y@mail.example today{i}") for i in range(5)] + [(i, f"the common text number{i} here lives") for i in range(20, 60)] + [(99, "mail z@a.example famous")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
