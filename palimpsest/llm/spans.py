@@ -42,15 +42,20 @@ def digest_text(spans: Column) -> Column:
 
 
 def replace_spans(text: Column, spans: Column, label) -> Column:
-    """The text with every span replaced by ``label(span)``; of overlapping spans the first counts."""
+    """The text with every span replaced by ``label(span)``.
+
+    Spans that overlap are replaced as their union, under the label of the first of them, at
+    equal starts of the longest.
+    """
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["value"].alias("value"), s["end"].alias("end"))))
 
     def step(acc: Column, s: Column) -> Column:
         taken = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), label(s))
-        return F.when(s["start"] < acc["at"], acc).otherwise(F.struct(s["end"].alias("at"), taken.alias("out")))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] < acc["at"], acc["out"]).otherwise(taken).alias("out"))
 
     rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(F.length(text), F.lit(1))))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(F.sort_array(spans), start, step, rest))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(ordered, start, step, rest))
 
 
 def overlap(a: Column, b: Column) -> Column:

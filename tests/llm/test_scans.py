@@ -95,6 +95,12 @@ def test_terms_count_and_go_over_the_whole_text(spark):
     assert clean[0] == rows[0][1].replace("bob@mail.example", "[EMAIL]").replace("bob", "[TERM]").replace("Violinist", "[TERM]").replace("violinist", "[TERM]")
 
 
+def test_overlapping_spans_go_whole(spark):
+    rows = [(0, "ip 192.168.1.1@host.example end"), (1, "a 4111 1111 1111 1111@host.example b")]
+    clean = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert clean == {0: "ip [EMAIL] end", 1: "a [CARD] b"}
+
+
 def test_odd_rows(odd, none, odd_rows):
     for scan in (secret_scan.scan, pii.find_all):
         got = scan(odd).collect()
