@@ -16,7 +16,7 @@ fingerprints are joined); false positives fall in the join.  The item side is br
 
 Defined results: null text, or text without words, has no words and no hits; items without
 words have no windows; repeated rows (equal id and text) agree; repeated items count once by
-id, null item ids don't count; extra columns are ignored; an empty table gives no rows.
+id, items with null ids count as hits and in no list of items; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -143,7 +143,7 @@ def hits_of(docs: DataFrame, items: DataFrame, k: int, w: int, short: bool) -> D
 def hits_by_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_key, places (start, size), items (ids as strings, sorted) of the documents with a hit."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words"))
-    items = materialize(items.where("item IS NOT NULL").distinct()).where("size(words) > 0")
+    items = materialize(items.distinct()).where("size(words) > 0")
     short = sorted(r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < WINDOW).distinct().collect())
     own = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     hits = hits_of(own, items, K, W, False)

@@ -142,3 +142,12 @@ def test_decontamination_of_odd_rows(spark, odd, none, odd_rows):
     assert decontamination.without_contaminated(odd, bench).count() == len(odd_rows)
     assert decontamination.decontaminate(none, bench).count() == 0
     assert decontamination.decontaminate(odd, bench.limit(0)).count() == len(odd_rows)
+
+
+def test_items_without_an_id_count_as_hits(spark):
+    item = " ".join(f"w{i}" for i in range(14))
+    docs = spark.createDataFrame([(1, f"so {item} it is"), (2, "something else")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, item)], "item_id bigint, text string")
+    got = {r.doc_id: (len(r.hit), r.items) for r in decontamination.decontaminate(docs, bench).collect()}
+    assert got == {1: (14, []), 2: (0, [])}
+    assert [r.doc_id for r in decontamination.without_contaminated(docs, bench).collect()] == [2]
