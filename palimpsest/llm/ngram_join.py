@@ -1,28 +1,33 @@
 """N-gram Jaccard join with adaptive multi-match prefixes, and its connected components.
 
 A document's set holds the 64-bit hashes of its distinct five-word shingles.  Documents of
-equal sets are one node, so copies are compared once.  All sets are ordered alike: shingles not
-known as frequent by hash, then frequent ones by rising frequency.  If two sets of sizes n and m
-share at least ceil(t * max(n, m)) elements, their prefixes of n - ceil(t n) + l and
-m - ceil(t m) + l elements share at least l.  Each document picks its l from an estimate of
-candidates: each element of its first prefix brings the sets known to hold it and ``PRIOR``
-unrelated ones, and each further match that is asked for leaves ``DECAY`` of them.  A pair is
-verified, on whole sets, only if it shares min(l) elements of its prefixes of that level.
-
-Frequencies come from all documents: blocks of shingles report those in ``BLOCK_DF`` or more
-of their sets, and the reports are summed.  They steer order and l, never the outcome; at most
-``FREQUENT`` of them are kept.
-
-Large groups of near copies cost no pair list.  First every node is paired only with the least
-and the greatest node of its prefix elements, where these are the same for at least three in
-ten of them, and links join components.  Then only
-pairs of nodes of different components that share enough prefix elements are left, and all of
-them are verified.  No link between components can be missed.
+equal sets are one node (a 128-bit digest), so copies are compared once.  All sets are ordered
+alike, by document frequency, then by hash.  If sets of sizes n and m link, they share at least
+a = ceil(t (n + m) / (1 + t)) elements, and then the first n - a + l and m - a + l elements
+share at least l.  Each document picks its l from an estimate of cost: an element more costs
+the rows that hold it, and each further match that is asked for leaves ``DECAY`` of the
+candidates, whose sets would be verified whole.  It puts out as many elements as its l and the
+smallest possible partner need; a pair counts those within the two lengths above, for the lesser
+l, and is verified on whole sets if it has l of them and could still reach a.
+
+Frequencies come from all documents: every block of shingles sends its distinct ones in buckets
+of hashes, and each bucket adds them up; elements of ``LEAST_DF`` or more are known by
+frequency, the others count as equally rare.  Up to ``FREQUENT`` of them are broadcast; beyond
+that the elements of all sets are joined with their frequencies by shuffling, with equal
+results.  Copies of one text in several blocks count several times; frequencies steer the order
+and l, never the outcome.
+
+Groups of near copies cost no pair list.  In rounds, every node is paired with one node, a hub
+that differs from round to round, of those that share its prefix elements, and links join
+components.  The rounds end when they find no link more, or when the pairs of different
+components that share a prefix element are few (``LINEAR`` for each prefix element).  Then those
+pairs, and only those, are listed, filtered as above, and verified.  No link between components
+can be missed.
 
 Defined results: null text, or text without a word, has no shingles and is linked with nothing;
 fewer than five words are one shingle; equal texts, also under equal ids, are linked; a null id
 is in its component but never names it unless all ids there are null; extra columns are ignored;
-an empty table gives no rows.  Components follow 64-bit hashes of shingles and sets.
+an empty table gives no rows.  Ties in frequency are broken by hash.
 """
 
 from __future__ import annotations
@@ -35,18 +40,23 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import materialize, read, release_memory
 from palimpsest.llm.spans import of_document, same_document
 
 SHINGLE, PERCENT = 5, 80
-BLOCK_TOKENS, BLOCK_DF, FREQUENT = 2_000_000, 4, 200_000
-#: Greatest l; unlisted elements that a set shares with unrelated sets; what one more match leaves of those.
-LEVELS, PRIOR, DECAY = 16, 0.05, 0.5
+#: Shingles that a task holds at once; those of one bucket; bytes of text for each, about.
+BLOCK_TOKENS, BUCKET_TOKENS, TEXT_BYTES = 2_000_000, 1_000_000, 6
+LEAST_DF, FREQUENT = 4, 2_000_000
+#: Greatest l; elements of unknown frequency that a set shares with unrelated sets; what one more match leaves of those.
+LEVELS, PRIOR, DECAY = 16, 0.01, 0.5
+LINEAR = 2
 BROADCAST_ROWS = 200_000
-WORD_CACHE = 150_000
+WORD_CACHE = 100_000
+#: A prefix element on its way to its bucket: half of the node's digest stands for the node.
+ELEMENT = np.dtype([("token", "<u8"), ("short", "<i8"), ("n", "<i4"), ("pos", "<i4"), ("ell", "<i1")])
 _words: dict[bytes, int] = {}
 
 
@@ -73,28 +83,57 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(acc)
 
 
-def node_of(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+def node_of(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def profile(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text_key, n, node) of documents, and rows (token, df) of frequent shingles."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def short_of(node: bytes) -> int:
+    return int.from_bytes(node[:8], "little", signed=True)
+
+
+def bucket_bits(docs: DataFrame) -> int:
+    """Buckets, as a power of two: each has about ``BUCKET_TOKENS`` shingles, whatever the input."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(4, (size // (TEXT_BYTES * BUCKET_TOKENS)).bit_length())
+
+
+def in_buckets(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """Bucket numbers and their slices of ascending keys: a bucket is the first ``bits`` bits."""
+    ends = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    for bucket, (a, b) in enumerate(zip([0, *ends.tolist()], [*ends.tolist(), len(keys)], strict=True)):
+        if b > a:
+            yield bucket, slice(a, b)
+
+
+def fingerprint(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """What frequencies know of a shingle: its bucket and 32 bits more."""
+    return tokens >> np.uint64(32 - bits)
+
+
+def profile(docs: DataFrame, bits: int) -> DataFrame:
+    """Rows (doc_id, text_key, n, node, short) of documents, and rows (token, df) of frequent fingerprints.
+
+    Both come from one pass: blocks of shingles and the documents' rows go through one shuffle.
+    """
+    kind = docs.schema["doc_id"].dataType
+    own = "doc_id string, text_key long, n int, node binary, short long"  # ids as text: pandas has no long with nulls
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, size, seen = [], 0, set()
 
         def report() -> pd.DataFrame:
             tokens, df = np.unique(np.concatenate(block), return_counts=True)
-            often = df >= max(BLOCK_DF, len(block) // 1000)
-            return pd.DataFrame({"doc_id": None, "text_key": 0, "n": 0, "node": 0, "token": tokens[often].view(np.int64), "df": df[often], "is_doc": False})
+            rest = (fingerprint(tokens, bits) & np.uint64(0xFFFFFFFF)).astype("<u4")
+            parts = [(b, rest[at].tobytes(), df[at].astype("<u4").tobytes() if (df[at] > 1).any() else b"") for b, at in in_buckets(tokens, bits)]
+            got = pd.DataFrame(parts, columns=["bucket", "tokens", "counts"])
+            return got.assign(doc_id=None, text_key=0, n=0, node=None, short=0)
 
         for pdf in batches:
             rows = []
             for doc_id, key, text in zip(pdf["doc_id"].array, pdf["text_key"], pdf["text"], strict=True):
                 tokens = shingles(text)
                 node = node_of(tokens)
-                rows.append((doc_id, key, len(tokens), node))
+                rows.append((doc_id, key, len(tokens), node, short_of(node), -1 - key % (1 << bits)))
                 if len(tokens) and node not in seen:
                     seen.add(node)
                     block.append(tokens)
@@ -102,134 +141,221 @@ def profile(docs: DataFrame) -> DataFrame:
                 if size >= BLOCK_TOKENS:
                     yield report()
                     block, size, seen = [], 0, set()
-            out = pd.DataFrame(rows, columns=["doc_id", "text_key", "n", "node"])
-            yield out.assign(token=0, df=0, is_doc=True)
+            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "n", "node", "short", "bucket"]).assign(tokens=None, counts=None)
         if block:
             yield report()
+        _words.clear()
         release_memory()
 
-    keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
-    return keyed.mapInPandas(run, f"doc_id {kind}, text_key long, n int, node long, token long, df long, is_doc boolean")
+    def add_up(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if key[0] < 0:
+            return pdf[["doc_id", "text_key", "n", "node", "short"]].assign(token=0, df=0)
+        tokens = [np.frombuffer(t, "<u4") for t in pdf["tokens"]]
+        counts = [np.frombuffer(c, "<u4") if c else np.ones(len(t), "<u4") for t, c in zip(tokens, pdf["counts"], strict=True)]
+        token, counts = np.concatenate(tokens), np.concatenate(counts)
+        order = np.argsort(token, kind="stable")
+        token, counts = token[order], counts[order]
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        df = np.add.reduceat(counts.astype(np.int64), starts)
+        often = df >= LEAST_DF
+        token = (np.uint64(key[0]) << np.uint64(32)) | token[starts][often].astype(np.uint64)
+        return pd.DataFrame({"doc_id": None, "text_key": 0, "n": 0, "node": None, "short": 0, "token": token.view(np.int64), "df": df[often]})
+
+    keyed = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+    sent = keyed.mapInPandas(run, f"{own}, bucket int, tokens binary, counts binary")
+    return sent.groupBy("bucket").applyInPandas(add_up, f"{own}, token long, df long").withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def first_prefix(size: int) -> int:
-    """Length of the prefix for l = 1."""
+    """Length of the prefix for l = 1 and the smallest possible partner."""
     return size - (PERCENT * size + 99) // 100 + 1
 
 
-@lru_cache(maxsize=100_000)
-def choose_level(size: int, frequent: int = 0) -> int:
-    """l of least estimated cost for a set of ``size`` elements.
-
-    ``frequent`` is the sum of the other holders of the first prefix's frequent elements.
-    Each element more is one to join; each candidate costs a set to verify, and each further
-    match that is asked for leaves ``DECAY`` of the candidates.
-    """
+def choose_level(df: np.ndarray) -> int:
+    """l of least estimated cost for a set whose elements, in order, are in ``df`` sets (1: unknown, few)."""
+    size = len(df)
     first = first_prefix(size)
-    levels = range(1, min(LEVELS, size - first + 1) + 1)
-    return min(levels, key=lambda n: n + size * (frequent + PRIOR * first) * DECAY ** (n - 1))
-
-
-def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(token, node, n, level, ell, hot): prefix elements of every distinct set."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hot, hot_df = shared.value
-        seen: set[int] = set()
-        parts: list[tuple[np.ndarray, ...]] = []
-        held = 0
-
-        def flush() -> pd.DataFrame:
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-            return pd.DataFrame(dict(zip(("token", "node", "n", "level", "ell", "hot"), columns, strict=True)))
-
+    levels = np.arange(min(LEVELS, size - first + 1))
+    rows = np.cumsum(df[: first + len(levels) - 1])[first - 1 :]
+    candidates = (df[:first] - 1).sum() + PRIOR * first
+    return 1 + int(np.argmin(rows + size * candidates * DECAY**levels))
+
+
+def elements(tokens: np.ndarray, df: np.ndarray, short: int) -> tuple[np.ndarray, np.ndarray]:
+    """A set's prefix elements, and which of them have a known frequency."""
+    if (df > 1).any():
+        order = np.lexsort((tokens, df))
+        tokens, df = tokens[order], df[order]
+    ell = choose_level(df)
+    length = first_prefix(len(tokens)) + ell - 1
+    out = np.empty(length, ELEMENT)
+    out["token"], out["short"], out["n"], out["pos"], out["ell"] = tokens[:length], short, len(tokens), np.arange(1, length + 1), ell
+    return out, df[:length] > 1
+
+
+SENT = "bucket int, blob binary, token long, short long, n int, pos int, ell int"
+HELD = "token long, short long, n int, pos int, ell int"
+
+
+def send(found: Iterator[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[pd.DataFrame]:
+    """Rows to be shuffled: elements of unknown frequency packed by bucket, the others singly, spread over groups."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def flush() -> Iterator[pd.DataFrame]:
+        own, known = (np.concatenate(x) for x in zip(*parts, strict=True))
+        cold = own[~known]
+        cold = cold[np.argsort(cold["token"], kind="stable")]
+        blobs = [(b, cold[at].tobytes()) for b, at in in_buckets(np.ascontiguousarray(cold["token"]), bits)]
+        yield pd.DataFrame(blobs, columns=["bucket", "blob"]).assign(token=0, short=0, n=0, pos=0, ell=0)
+        hot = own[known]
+        if len(hot):
+            mixed = (hot["token"] ^ hot["short"].view("<u8")) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)
+            rows = pd.DataFrame({c: hot[c] for c in ("token", "short", "n", "pos", "ell")})
+            yield rows.assign(token=hot["token"].view("<i8"), ell=hot["ell"].astype(int), bucket=-1 - mixed.astype(np.int64), blob=None)
+
+    for part in found:
+        parts.append(part)
+        held += len(part[0])
+        if held >= BLOCK_TOKENS // 4:
+            yield from flush()
+            parts, held = [], 0
+    if parts:
+        yield from flush()
+
+
+def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Distinct elements of a group; of unknown frequency only those that two or more nodes have."""
+    if key[0] < 0:
+        return pdf[["token", "short", "n", "pos", "ell"]].drop_duplicates(["token", "short"])
+    own = np.concatenate([np.frombuffer(b, ELEMENT) for b in pdf["blob"]])
+    own = own[np.lexsort((own["short"], own["token"]))]
+    token = own["token"]
+    again = np.r_[False, (token[1:] == token[:-1]) & (own["short"][1:] == own["short"][:-1])]
+    own = own[~again]
+    same = own["token"][1:] == own["token"][:-1]
+    own = own[np.r_[False, same] | np.r_[same, False]]
+    return pd.DataFrame({c: own[c] for c in ("short", "n", "pos")} | {"token": own["token"].view("<i8"), "ell": own["ell"].astype(int)})[["token", "short", "n", "pos", "ell"]]
+
+
+def prefixes(docs: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
+    """(token, short, n, pos, ell): prefix elements of every distinct set that other sets may have."""
+    if frequent.count() > FREQUENT:
+        sent = _ranked_by_shuffle(docs, frequent, bits)
+    else:
+        # the count above bounds what is collected
+        known = frequent.toPandas()
+        order = np.argsort(known["token"].to_numpy(np.int64))
+        table = known["token"].to_numpy(np.int64)[order].view(np.uint64), known["df"].to_numpy(np.int64)[order].astype(np.int32)
+        shared = docs.sparkSession.sparkContext.broadcast(table)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            tokens_of, df_of = shared.value
+            seen: set[bytes] = set()
+
+            def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                for pdf in batches:
+                    for text in pdf["text"]:
+                        tokens = shingles(text)
+                        if not len(tokens) or (node := node_of(tokens)) in seen:
+                            continue
+                        seen.add(node)
+                        df = np.ones(len(tokens), np.int64)
+                        if len(tokens_of):
+                            own = fingerprint(tokens, bits)
+                            at = np.minimum(np.searchsorted(tokens_of, own), len(tokens_of) - 1)
+                            df = np.where(tokens_of[at] == own, df_of[at], 1).astype(np.int64)
+                        yield elements(tokens, df, short_of(node))
+
+            yield from send(found(), bits)
+            _words.clear()
+            release_memory()
+
+        sent = docs.select("text").mapInPandas(run, SENT)
+    return sent.groupBy("bucket").applyInPandas(gather, HELD)
+
+
+def _ranked_by_shuffle(docs: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
+    """The rows that ``prefixes`` shuffles, where frequencies are too many to be broadcast."""
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[bytes] = set()
         for pdf in batches:
             for text in pdf["text"]:
                 tokens = shingles(text)
-                size = len(tokens)
-                if not size or (node := node_of(tokens)) in seen:
-                    continue
-                seen.add(node)
-                first = first_prefix(size)
-                df = np.ones(size, np.int64)
-                if len(hot):
-                    at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
-                    known = hot[at] == tokens
-                    if known.any():
-                        df[known] = hot_df[at[known]]
-                        order = np.argsort(df, kind="stable")  # ties stay in the order of hashes
-                        tokens, df = tokens[order], df[order]
-                ell = choose_level(size, int((df[:first] - 1).sum()))
-                length = first + ell - 1
-                level = np.maximum(1, np.arange(length) - first + 2).astype(np.int8)
-                # copies: slices would keep whole sets alive
-                parts.append((tokens[:length].view(np.int64).copy(), np.full(length, node), np.full(length, size, np.int32), level, np.full(length, ell, np.int8), df[:length] > 1))
-                held += length
-                if held >= 200_000:
-                    yield flush()
-                    parts, held = [], 0
-        if parts:
-            yield flush()
-        release_memory()
+                if len(tokens) and (node := node_of(tokens)) not in seen:
+                    seen.add(node)
+                    yield pd.DataFrame({"short": short_of(node), "n": len(tokens), "own": tokens.view(np.int64), "token": fingerprint(tokens, bits).view(np.int64)})
 
-    return docs.select("text").mapInPandas(run, "token long, node long, n int, level tinyint, ell tinyint, hot boolean")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for pdf in batches:
+                for short, own, df in zip(pdf["short"], pdf["own"], pdf["df"], strict=True):
+                    tokens = np.array(own, np.int64).view(np.uint64)
+                    order = np.argsort(tokens)
+                    yield elements(tokens[order], np.array(df, np.int64)[order], short)
 
+        yield from send(found(), bits)
 
-def shared_elements(prefix: DataFrame) -> DataFrame:
-    """Prefix elements that two or more nodes have, with the least and greatest of them.
+    rows = docs.select("text").mapInPandas(each, "short long, n int, own long, token long").join(frequent, "token", "left")
+    sets = rows.groupBy("short", "n").agg(F.collect_set(F.struct("own", F.coalesce("df", F.lit(1)).alias("df"))).alias("x"))
+    return sets.select("short", F.col("x.own").alias("own"), F.col("x.df").alias("df")).mapInPandas(run, SENT)
 
-    Elements that aren't frequent are few for each value and meet by a window; frequent ones
-    are reduced before the shuffle, to at most FREQUENT rows, and those are broadcast.
-    """
-    own = F.struct("node", "n")
-    by_token = Window.partitionBy("token")
-    cold = prefix.where("NOT hot").withColumn("lo", F.min(own).over(by_token)).withColumn("hi", F.max(own).over(by_token))
-    hot = prefix.where("hot")
-    ends = hot.groupBy("token").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
-    return cold.unionByName(hot.join(F.broadcast(ends), "token")).where("lo.node < hi.node")
 
+def _least_overlap(n: Column, m: Column) -> Column:
+    """Elements that linked sets of these sizes share at least."""
+    return F.ceil((n + m) * PERCENT / (100 + PERCENT))
 
-def _long_enough(n: str, m: str):
-    return (F.col(n) * 100 >= F.col(m) * PERCENT) & (F.col(m) * 100 >= F.col(n) * PERCENT)
 
+def _may_link(x: str, y: str) -> Column:
+    """Sizes allow a link, and the element is within both lengths for the lesser l."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    spare = F.least(f"{x}.ell", f"{y}.ell") - _least_overlap(n, m)
+    near = (n * 100 >= m * PERCENT) & (m * 100 >= n * PERCENT)
+    return near & (F.col(f"{x}.pos") <= n + spare) & (F.col(f"{y}.pos") <= m + spare)
 
-def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets link."""
-    wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(reps, "node").select("node", F.col("rep").alias("rep")))
+
+def texts_of(ids: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id, text) of these nodes, written once."""
+    wanted = materialize(reps.join(ids, "id").select("id", "doc_id", "text_key"))
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    found = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+    found = docs.alias("l").join(wanted.alias("r"), of_document()).select("id", "text")
 
-    # record batches are read row by row, so a task holds one batch and two sets at a time
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keep = []
-            for node, text in zip(batch["node"], batch["text"], strict=True):  # an id may have several texts
-                node = node.as_py()
-                keep.append(node not in seen and node_of(shingles(text.as_py())) == node)
-                if keep[-1]:
-                    seen.add(node)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            own = batch["id"].to_pylist()
+            fresh = [i not in seen and not seen.add(i) for i in own]
+            yield batch.filter(pa.array(fresh, pa.bool_()))
         release_memory()
 
-    texts = materialize(found.mapInArrow(own, "node long, text string"))
-    sides = pairs.join(texts.dropDuplicates(["node"]).select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    sides = sides.join(texts.dropDuplicates(["node"]).select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    return materialize(found.mapInArrow(once, "id long, text string"))
+
+
+def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets link; the texts of a move to those of b, which hubs share."""
+    pairs = materialize(pairs.select("a", "b"))
+    hubs = pairs.select("b").distinct()
+    if pairs.count() <= BROADCAST_ROWS:
+        pairs, hubs = F.broadcast(pairs), F.broadcast(hubs)
+    # a row of either side may be repeated; links are made distinct
+    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    right = hubs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = lru_cache(maxsize=16)(shingles)
+        of = lru_cache(maxsize=4)(shingles)
         for batch in batches:
             keep = []
-            for ta, tb in zip(batch["ta"], batch["tb"], strict=True):
-                x, y = of(ta.as_py()), of(tb.as_py())
+            for ta, tb in zip(batch["ta"], batch["tb"], strict=True):  # a task holds one batch and a few sets at a time
+                x, y = shingles(ta.as_py()), of(tb.as_py())
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        _words.clear()
         release_memory()
 
-    return materialize(sides.select("a", "b", "ta", "tb").mapInArrow(linked, "a long, b long"))
+    return materialize(left.join(right, "b").select("a", "b", "ta", "tb").mapInArrow(linked, "a long, b long").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -249,43 +375,68 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (id, comp) after these links (a, b); nodes without a row are their own components."""
+    if labels is None:
+        return components(links).withColumnRenamed("node", "id")
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("comp").alias(f"{c}2"))
+    edges = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b"))
+    step = components(materialize(edges))
+    # a node that was alone so far has a row only in ``step``, under its own name
+    old = labels.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp", "left")
+    new = step.join(labels.select(F.col("id").alias("node")), "node", "left_anti").select(F.col("node").alias("id"), "comp")
+    return materialize(old.select("id", F.coalesce("next", "comp").alias("comp")).unionByName(new))
+
+
+def link_classes(shared: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """(id, comp) of all nodes that are linked, from prefix elements (token, id, n, pos, ell); None without links."""
+    labels, active = None, shared.withColumn("comp", F.col("id"))
+    turn = 0
+    while True:
+        turn += 1
+        hub = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "n", "pos", "ell", "comp")).alias("hub")
+        hubs = active.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("held"), hub).where("c1 < c2")
+        hubs = materialize(hubs.select("token", "held", "hub.*"))
+        rows, pairs = hubs.agg(F.sum("held"), F.sum(F.expr("held * (held - 1) / 2"))).first()
+        if not rows:
+            return labels
+        active = materialize(active.join(hubs.select("token"), "token", "left_semi"))
+        if pairs <= LINEAR * rows:
+            break
+        met = active.alias("x").join(hubs.alias("h"), "token").where((F.col("x.comp") != F.col("h.comp")) & _may_link("x", "h"))
+        met = met.groupBy(F.col("x.id").alias("a"), F.col("h.id").alias("b")).agg(F.count("*").alias("met"))
+        found = verify(met.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")), texts)
+        if found.isEmpty():
+            break
+        labels = _joined(labels, found)
+        active = active.drop("comp").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+    met = active.alias("x").join(active.alias("y"), "token").where((F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
+    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    met = met.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), F.max(F.least("x.ell", "y.ell")).alias("need"), F.min(rest).alias("rest"), F.max(_least_overlap(F.col("x.n"), F.col("y.n"))).alias("least"))
+    listed = met.where((F.col("met") >= F.least("need", "least")) & (F.col("met") + F.col("rest") >= F.col("least")))
+    found = verify(listed, texts)
+    return labels if found.isEmpty() else _joined(labels, found)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, group (of the component, null for empty sets) for every row of ``docs``."""
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    both = materialize(profile(docs))
-    rows = both.where("is_doc").select("doc_id", "text_key", "n", "node")
-    top = both.where("NOT is_doc").groupBy("token").agg(F.sum("df").alias("df")).orderBy(F.desc("df"), "token").limit(FREQUENT).toPandas()
-    tokens = top["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(tokens)
-    shared = materialize(shared_elements(materialize(prefixes(docs, (tokens[order], top["df"].to_numpy(np.int64)[order])))))
-    reps = materialize(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep")))
-
-    ends = [shared.select("node", "n", F.col(f"{e}.node").alias("other"), F.col(f"{e}.n").alias("m")) for e in ("lo", "hi")]
-    star = ends[0].union(ends[1]).where(F.col("node") != F.col("other")).where(_long_enough("n", "m"))
-    # only a start: pairs that are left out here are met again below
-    least = F.min(F.least("n", "m")).alias("size")
-    star = star.groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(F.count("*").alias("met"), least)
-    star = materialize(star.where(F.col("met") * 10 >= F.ceil(F.col("size") * (100 - PERCENT) / 100) * 3).select("a", "b"))
-    links = verify(star, docs, reps)
-    comps = components(links)
-
-    labelled = shared.drop("lo", "hi").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    labelled = materialize(labelled)
-    mixed = labelled.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("token")
-    left = materialize(labelled.join(mixed, "token", "left_semi"))
-    x, y = (left.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "level", "ell", "comp")]) for s in "xy")
-    need = F.least("ell_x", "ell_y")
-    met = x.join(y, "token").where((F.col("comp_x") < F.col("comp_y")) & _long_enough("n_x", "n_y") & (F.col("level_x") <= need) & (F.col("level_y") <= need))
-    met = met.groupBy(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).agg(F.count("*").alias("met"), F.max(need).alias("need"))
-    rest = materialize(met.where("met >= need").select("a", "b").join(star, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        more = verify(rest, docs, reps)
-        if not more.isEmpty():
-            comps = components(links.union(more))
-
-    classes = reps.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = classes.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    bits = bucket_bits(docs)
+    both = materialize(profile(docs, bits))
+    rows = both.where("node IS NOT NULL").drop("token", "df")
+    reps = rows.where("n > 0").groupBy("node").agg(F.min("short").alias("short"), F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key")).alias("one"))
+    reps = materialize(reps.select(F.monotonically_increasing_id().alias("id"), "node", "short", "least_id", "one.*"))
+    held = materialize(prefixes(docs, both.where("node IS NULL").select("token", "df"), bits))
+    # digests that agree in half are two nodes with the rows of both: candidates more, no link less
+    shared = materialize(held.join(reps.select("id", "short"), "short").drop("short"))
+    several = shared.groupBy("token").agg(F.min("id").alias("i"), F.max("id").alias("j")).where("i < j").select("token")
+    shared = materialize(shared.join(several, "token", "left_semi"))
+    labels = None
+    if not shared.isEmpty():
+        labels = link_classes(shared, texts_of(shared.select("id").distinct(), docs, reps))
+    classes = reps.select("id", "node", "least_id", F.col("id").alias("comp")) if labels is None else reps.select("id", "node", "least_id").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    named = classes.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     classes = materialize(classes.join(named, "comp").select("node", "component_id", F.col("comp").alias("group")))
     out = rows.join(classes, "node", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "group", "text_key")

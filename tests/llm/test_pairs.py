@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from palimpsest.llm import decontamination, ngram_join
 
 
@@ -62,10 +64,29 @@ def test_components_equal_brute_force(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows)
 
 
-def test_frequent_elements_go_last_and_lose_no_link(spark, monkeypatch):
+def test_order_levels_and_rounds_lose_no_link(spark, monkeypatch):
+    """All elements known by frequency, by broadcast and by shuffle; tiny blocks; only rounds, and only lists of pairs."""
     rows = planted()
-    monkeypatch.setattr(ngram_join, "BLOCK_DF", 2)
-    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)).collect()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    for least, frequent, block, linear in ((2, 10**6, 300, 0), (2, 0, 10**6, 10**9), (10**6, 10**6, 10**6, 2)):
+        for name, value in (("LEAST_DF", least), ("FREQUENT", frequent), ("BLOCK_TOKENS", block), ("LINEAR", linear)):
+            monkeypatch.setattr(ngram_join, name, value)
+        got = ngram_join.near_duplicates(docs).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows)
+
+
+def test_a_large_group_at_the_threshold(spark):
+    """Near copies of one text of which many pairs miss the threshold by little, among unrelated texts of a common passage."""
+    rng = random.Random(12)
+    base, passage = [f"b{i}" for i in range(64)], [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(900)}"
+        rows.append((i, " ".join(words[: rng.randint(54, 64)])))
+    rows += [(1000 + i, " ".join([f"u{i}_{j}" for j in range(rng.randint(8, 30))] + passage)) for i in range(60)]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows)
 
 
@@ -78,9 +99,10 @@ def test_one_of_each_group_stays(spark):
 
 
 def test_levels_grow_with_the_cost():
-    assert ngram_join.choose_level(1) == 1
-    assert ngram_join.choose_level(100) < ngram_join.choose_level(1000) <= ngram_join.LEVELS
-    assert ngram_join.choose_level(100, 500) > ngram_join.choose_level(100)
+    level = lambda n, *df: ngram_join.choose_level(np.array([1] * (n - len(df)) + list(df)))
+    assert level(1) == 1
+    assert level(100) < level(1000) <= ngram_join.LEVELS
+    assert level(20, *[30] * 19) > level(20)
 
 
 def test_join_on_odd_rows(odd, none, odd_rows):
