@@ -17,12 +17,11 @@ that the elements of all sets are joined with their frequencies by shuffling, wi
 results.  Copies of one text in several blocks count several times; frequencies steer the order
 and l, never the outcome.
 
-Groups of near copies cost no pair list.  In rounds, every node is paired with one node, a hub
-that differs from round to round, of those that share its prefix elements, and links join
-components.  The rounds end when they find no link more, or when the pairs of different
-components that share a prefix element are few (``LINEAR`` for each prefix element).  Then those
-pairs, and only those, are listed, filtered as above, and verified.  No link between components
-can be missed.
+Large groups of near copies cost no pair list.  While ``CROWD`` or more nodes of several
+components share an element, every node is paired in rounds with one node, a hub that differs
+from round to round, of those that share such elements, and links join components; a round
+that links few of its pairs is the last.  Then the pairs of different components, and only
+those, are listed, filtered as above, and verified.  No link between components can be missed.
 
 Defined results: null text, or text without a word, has no shingles and is linked with nothing;
 fewer than five words are one shingle; equal texts, also under equal ids, are linked; a null id
@@ -52,7 +51,8 @@ BLOCK_TOKENS, BUCKET_TOKENS, TEXT_BYTES = 2_000_000, 1_000_000, 6
 LEAST_DF, FREQUENT = 4, 2_000_000
 #: Greatest l; elements of unknown frequency that a set shares with unrelated sets; what one more match leaves of those.
 LEVELS, PRIOR, DECAY = 16, 0.01, 0.5
-LINEAR = 2
+#: Nodes that share an element and are worth a round; a round goes on that links one in so many of its pairs.
+CROWD, WORTH = 32, 20
 BROADCAST_ROWS = 200_000
 WORD_CACHE = 100_000
 #: A prefix element on its way to its bucket: half of the node's digest stands for the node.
@@ -244,9 +244,11 @@ def prefixes(docs: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
         sent = _ranked_by_shuffle(docs, frequent, bits)
     else:
         # the count above bounds what is collected
-        known = frequent.toPandas()
-        order = np.argsort(known["token"].to_numpy(np.int64))
-        table = known["token"].to_numpy(np.int64)[order].view(np.uint64), known["df"].to_numpy(np.int64)[order].astype(np.int32)
+        known = frequent.toArrow()
+        tokens, df = known["token"].to_numpy(), known["df"].to_numpy()
+        order = np.argsort(tokens)
+        table = tokens[order].view(np.uint64), np.minimum(df[order], 2**31 - 1).astype(np.int32)
+        del known, tokens, df, order
         shared = docs.sparkSession.sparkContext.broadcast(table)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -390,26 +392,27 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def link_classes(shared: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(id, comp) of all nodes that are linked, from prefix elements (token, id, n, pos, ell); None without links."""
-    labels, active = None, shared.withColumn("comp", F.col("id"))
-    turn = 0
+    labels, active, turn = None, shared.withColumn("comp", F.col("id")), 0
     while True:
         turn += 1
         hub = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "n", "pos", "ell", "comp")).alias("hub")
-        hubs = active.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("held"), hub).where("c1 < c2")
+        own = active.groupBy("token", "comp").agg(F.count("*").alias("held"), hub)
+        hubs = own.groupBy("token").agg(F.sum("held").alias("held"), F.count("*").alias("comps"), F.min("hub").alias("hub")).where("comps > 1")
         hubs = materialize(hubs.select("token", "held", "hub.*"))
-        rows, pairs = hubs.agg(F.sum("held"), F.sum(F.expr("held * (held - 1) / 2"))).first()
-        if not rows:
-            return labels
         active = materialize(active.join(hubs.select("token"), "token", "left_semi"))
-        if pairs <= LINEAR * rows:
+        crowded = hubs.where(F.col("held") >= CROWD)
+        if crowded.isEmpty():
             break
-        met = active.alias("x").join(hubs.alias("h"), "token").where((F.col("x.comp") != F.col("h.comp")) & _may_link("x", "h"))
+        met = active.alias("x").join(crowded.alias("h"), "token").where((F.col("x.comp") != F.col("h.comp")) & _may_link("x", "h"))
         met = met.groupBy(F.col("x.id").alias("a"), F.col("h.id").alias("b")).agg(F.count("*").alias("met"))
-        found = verify(met.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")), texts)
-        if found.isEmpty():
+        pairs = materialize(met.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")))
+        found = verify(pairs, texts)
+        n = found.count()
+        if n:
+            labels = _joined(labels, found)
+            active = materialize(active.drop("comp").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
+        if n * WORTH < pairs.count() or not n:
             break
-        labels = _joined(labels, found)
-        active = active.drop("comp").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
 
     met = active.alias("x").join(active.alias("y"), "token").where((F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
     rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))

@@ -68,8 +68,8 @@ def test_order_levels_and_rounds_lose_no_link(spark, monkeypatch):
     """All elements known by frequency, by broadcast and by shuffle; tiny blocks; only rounds, and only lists of pairs."""
     rows = planted()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
-    for least, frequent, block, linear in ((2, 10**6, 300, 0), (2, 0, 10**6, 10**9), (10**6, 10**6, 10**6, 2)):
-        for name, value in (("LEAST_DF", least), ("FREQUENT", frequent), ("BLOCK_TOKENS", block), ("LINEAR", linear)):
+    for least, frequent, block, crowd in ((2, 10**6, 300, 2), (2, 0, 10**6, 10**9), (10**6, 10**6, 10**6, 5)):
+        for name, value in (("LEAST_DF", least), ("FREQUENT", frequent), ("BLOCK_TOKENS", block), ("CROWD", crowd)):
             monkeypatch.setattr(ngram_join, name, value)
         got = ngram_join.near_duplicates(docs).collect()
         assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows)
