@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import materialize, read
-from palimpsest.llm.spans import of_document, same_document
+from palimpsest.llm.spans import let, of_document, same_document
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, K = 10, 5
@@ -42,15 +42,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(low, GAP), lambda x: x != "")
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often the body uses it.
-
-    Plain aliases won't do: the optimiser would push conditions below them and so copy the
-    expressions into every use, one copy inside another.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def grams(words: Column, k: int) -> Column:
     """Hashes of the k-grams of words that start at 0, 1, ..."""
     each = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))

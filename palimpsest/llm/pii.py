@@ -9,8 +9,9 @@ at least ``remove`` of it is removed.  Each of its occurrences outside the patte
 span beside those, which always stay.
 
 Counts are distinct (entity, term) rows of each distinct text, summed with map-side combining, so
-an entity in a third of all texts is spread over its terms.  Terms and entities are known by
-64-bit hashes.  Only DataFrame expressions run on executors.
+an entity in a third of all texts is spread over its terms; the joins back to texts leave a hot
+key to the adaptive split of skewed joins.  Only texts with entities are joined or shuffled.
+Terms and entities are known by 64-bit hashes.  Only DataFrame expressions run on executors.
 
 Defined results: null text is empty; repeated rows agree, and equal texts count once in the
 statistics; offsets are code points, ends exclusive; extra columns are ignored; an empty table
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import materialize, read
-from palimpsest.llm.spans import NO_SPANS, digest_text, find, none, of_document, overlap, replace_spans, same_document
+from palimpsest.llm.spans import NO_SPANS, digest_text, find, let, none, outside, replace_spans
 
 #: The patterns of the contract, with possessive loops where these can't change a match.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -31,10 +32,8 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}{3,}+"
-#: Sides beyond this many rows are joined by shuffling.
+#: Keys of repeated texts beyond this many are joined by shuffling.
 BROADCAST_ROWS = 100_000
-#: The same for the disclosing terms of all texts together.
-BROADCAST_TERMS = 1_000_000
 
 
 def _digits(value: Column) -> Column:
@@ -68,13 +67,17 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(_lower(text), F.lit(TERM), F.lit(0)))
 
 
-def detect(docs: DataFrame) -> DataFrame:
-    """Narrow rows: doc_id, text_key, base spans, hashes of the entities and, where there are any, of all terms; written to the shared folder."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("base", F.concat(*base_spans(F.col("text")).values())).withColumn("text_key", F.xxhash64("text"))
+def detect(docs: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
+    """Narrow rows: doc_id, text_key, base spans, hashes of the entities; written to the shared folder.
+
+    Where there are entities, they also have the text, and the named columns of the document in ``row``.
+    """
+    carried = F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys(("doc_id", "text", *columns))])
+    rows = docs.select(carried.alias("row")).withColumn("whole", F.coalesce("row.text", F.lit("")))
+    rows = rows.withColumn("base", F.concat(*base_spans(F.col("whole")).values()))
     entities = F.array_distinct(F.transform("base", lambda s: F.xxhash64(F.concat_ws(":", s["kind"], s["value"]))))
-    terms = F.when(F.size("base") > 0, F.transform(terms_of(F.col("text")), lambda t: F.xxhash64(t))).otherwise(F.array().cast("array<bigint>"))
-    return materialize(rows.select("doc_id", "text_key", "base", entities.alias("entities"), terms.alias("terms")))
+    if_any = lambda name: F.when(F.size("base") > 0, F.col(name))
+    return materialize(rows.select("row.doc_id", F.xxhash64("whole").alias("text_key"), "base", entities.alias("entities"), if_any("whole").alias("text"), if_any("row").alias("row")))
 
 
 def term_frequency(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -98,78 +101,88 @@ def lower_bound(hits: Column, n: Column, z: float) -> Column:
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, z: float = 1.645, beta: float = 0.8, remove: float = 0.98) -> DataFrame:
-    """text_key, told, gone: hashes of a text's terms whose disclosure reaches ``beta``, and of those that reach ``remove``; written."""
-    held = materialize(found.where(F.size("entities") > 0).select("text_key", "entities", "terms").dropDuplicates(["text_key"]))
-    seen = held.select("text_key", "terms", F.explode("entities").alias("entity")).select("text_key", "entity", F.explode("terms").alias("term"))
-    entities = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = materialize(seen.groupBy("entity", "term").agg(F.count("*").alias("n_et")))
-    if pairs.isEmpty():
-        frequency = docs.sparkSession.createDataFrame([], "term long, n_t long")
-    else:
-        frequency = term_frequency(docs, found)
-    texts = float(max(found.select("text_key").distinct().count(), 1))
-    disclosed = F.log2(F.lit(texts) * lower_bound(F.col("n_et").cast("double"), F.col("n_t").cast("double"), z) / F.col("n_e"))
-    content = F.log2(F.lit(texts) / F.col("n_e"))
-    rated = pairs.join(frequency, "term").join(entities, "entity").withColumn("share", disclosed / F.greatest(content, F.lit(1e-9)))
-    rated = materialize(rated.where(F.col("share") >= beta).select("entity", "term", (F.col("share") >= remove).alias("gone")))
-    if rated.count() <= BROADCAST_ROWS:
-        rated = F.broadcast(rated)
+    """text_key, told, gone: hashes of a text's terms whose disclosure reaches ``beta``, and of those that reach ``remove``; written.
+
+    An entity of one text has its terms there as pairs, each once, so those pairs are rated by
+    the terms' frequencies alone, without being counted.
+    """
+    held = materialize(found.where(F.size("entities") > 0).select("text_key", "entities", "text").dropDuplicates(["text_key"]))
+    if held.isEmpty():
+        return docs.sparkSession.createDataFrame([], "text_key long, told array<long>, gone array<long>")
+    texts = float(found.select("text_key").distinct().count())
+    frequency = materialize(term_frequency(docs, found))
+
+    def share(hits: Column, n_t: Column, n_e: Column) -> Column:
+        disclosed = F.log2(F.lit(texts) * lower_bound(hits.cast("double"), n_t.cast("double"), z) / n_e)
+        return disclosed / F.greatest(F.log2(F.lit(texts) / n_e), F.lit(1e-9))
+
+    each = held.select("text_key", F.explode("entities").alias("entity"))
+    n_e = each.groupBy("entity").agg(F.count("*").alias("n_e"))
+    each = materialize(each.join(n_e, "entity"))
+    terms = F.explode(F.transform(terms_of(F.col("text")), lambda t: F.xxhash64(t))).alias("term")
+
+    alone = each.where("n_e = 1").select("text_key").distinct()
+    rare = frequency.select("term", share(F.lit(1), F.col("n_t"), F.lit(1)).alias("share")).where(F.col("share") >= beta)
+    told = held.join(alone, "text_key", "left_semi").select("text_key", terms).join(rare, "term").select("text_key", "term", "share")
+
+    seen = held.join(each.where("n_e > 1"), "text_key").select("text_key", "entity", "n_e", terms)
+    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.max("n_e").alias("n_e")).join(frequency, "term")
+    rated = pairs.select("entity", "term", share(F.col("n_et"), F.col("n_t"), F.col("n_e")).alias("share")).where(F.col("share") >= beta)
+    told = told.unionByName(seen.join(rated, ["entity", "term"]).select("text_key", "term", "share"))
     # grouped by text: at most its own terms
-    hits = seen.join(rated, ["entity", "term"])
-    return materialize(hits.groupBy("text_key").agg(F.collect_set("term").alias("told"), F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("gone")))
+    return materialize(told.groupBy("text_key").agg(F.collect_set("term").alias("told"), F.collect_set(F.when(F.col("share") >= remove, F.col("term"))).alias("gone")))
 
 
-def _added(text: Column, base: str) -> Column:
-    """Every occurrence of the terms in columns told and gone outside the spans of ``base``."""
-    among = lambda terms, t: F.array_contains(F.col(terms), F.xxhash64(_lower(t)))
-    found = F.filter(find(text, TERM, 4, "generalise", wanted=lambda t: among("told", t)), lambda t: ~F.exists(base, lambda b: overlap(b, t)))
+def _among(values: Column, test) -> Column:
+    """``test`` of a function that tells whether a hash is in ``values``, which are parted so that each look reads about a root of them."""
+    parts = F.ceil(F.sqrt(F.size(values) + 1)).cast("int")
+    parted = F.transform(F.sequence(F.lit(0), parts - 1), lambda b: F.filter(values, lambda v: F.pmod(v, parts) == b))
+    return let(parted, lambda p: test(lambda h: F.array_contains(F.get(p, F.pmod(h, F.size(p)).cast("int")), h)))
 
-    def named(t: Column) -> Column:
-        gone = among("gone", t["value"])
-        return F.struct(t["start"], t["end"], F.when(gone, 5).otherwise(4).alias("rank"), F.when(gone, "remove").otherwise("generalise").alias("kind"), F.lower(t["value"]).alias("value"))
 
-    return F.transform(found, named).cast(NO_SPANS)
+def added_spans(text: Column, base: Column, told: Column, gone: Column) -> Column:
+    """Every occurrence of the terms ``told`` and ``gone`` (hashes) in ``text`` outside the spans of ``base``."""
 
+    def marked(is_told, is_gone) -> Column:
+        # letters keep their places when lower-cased
+        found = let(_lower(text), lambda low: find(low, TERM, 4, "generalise", wanted=lambda t: is_told(F.xxhash64(t))))
 
-def disclosing_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id, text_key, added: spans of the disclosing terms of the texts that have any.
+        def named(t: Column) -> Column:
+            rid = is_gone(F.xxhash64(t["value"]))
+            return F.struct(t["start"], t["end"], F.when(rid, 5).otherwise(4).alias("rank"), F.when(rid, "remove").otherwise("generalise").alias("kind"), t["value"])
 
-    Terms are joined to their own texts; texts aren't shuffled while there are at most
-    ``BROADCAST_TERMS``.
-    """
-    told = disclosing_terms(docs, found)
-    if (told.agg(F.sum(F.size("told"))).first()[0] or 0) <= BROADCAST_TERMS:
-        told = F.broadcast(told)
-    rows = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(told, "text_key")
-    rows = rows.withColumn("base", F.concat(*base_spans(F.col("text")).values()))
-    added = rows.select("doc_id", "text_key", _added(F.col("text"), "base").alias("added"))
-    return added.where(F.size("added") > 0).dropDuplicates(["doc_id", "text_key"])
+        return F.transform(outside(found, base), named).cast(NO_SPANS)
+
+    spans = _among(told, lambda is_told: _among(gone, lambda is_gone: marked(is_told, is_gone)))
+    return F.when(told.isNull() | (F.size(told) == 0), none()).otherwise(spans)
+
+
+def with_added(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``found`` that have entities, with ``added``; only their texts, not the corpus, are joined."""
+    own = found.where(F.size("entities") > 0).join(disclosing_terms(docs, found), "text_key", "left")
+    return own.select("doc_id", "text_key", "base", added_spans(F.col("text"), F.col("base"), F.col("told"), F.col("gone")).alias("added"), "text", "row")
 
 
 def find_all(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, base, added for every row of ``docs``."""
     found = detect(docs)
-    added = materialize(disclosing_spans(docs, found))
-    return found.alias("l").join(added.alias("r"), same_document(), "left").select("l.doc_id", "l.text_key", "base", F.coalesce("added", none()).alias("added"))
+    rest = found.where(F.size("entities") == 0).select("doc_id", "text_key", "base", none().alias("added"))
+    return rest.unionByName(with_added(docs, found).drop("text", "row"))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns kept, with the text sanitised.
 
-    Pattern spans become ``[KIND]``, generalised terms ``[TERM]``, removed terms nothing.  The
-    disclosing spans are joined to their own documents only; other texts aren't shuffled while
-    those are at most ``BROADCAST_ROWS``.
+    Pattern spans become ``[KIND]``, generalised terms ``[TERM]``, removed terms nothing.  Rows
+    without an entity pass as they are.
     """
-    found = detect(docs)
-    added = materialize(disclosing_spans(docs, found))
-    if added.count() <= BROADCAST_ROWS and (added.agg(F.sum(F.size("added"))).first()[0] or 0) <= BROADCAST_TERMS:
-        added = F.broadcast(added)
-    own = docs.alias("l").join(added.alias("r"), of_document(), "left")
-    text = F.coalesce(F.col("l.text"), F.lit(""))
-    spans = F.concat(*base_spans(text).values(), F.coalesce("r.added", none()))
+    found = detect(docs, tuple(docs.columns))
     label = lambda s: F.when(s["kind"] == "remove", F.lit("")).when(s["kind"] == "generalise", F.lit("[TERM]")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    clean = F.when(F.col("l.text").isNotNull(), replace_spans(text, spans, label))
-    return own.select(*[clean.alias(c) if c == "text" else F.col(f"l.`{c}`") for c in docs.columns])
+    own = with_added(docs, found)
+    clean = replace_spans(F.col("text"), F.concat("base", "added"), label)
+    own = own.select(*[clean.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    rest = docs.where(F.size(F.concat(*base_spans(F.coalesce("text", F.lit(""))).values())) == 0)
+    return rest.unionByName(own)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
