@@ -1,16 +1,24 @@
 """URL filters: explicit rules, and a path-template tree with labelled purity.
 
-Segments with a digit are the variable ``{n}``.  Pages are first summed by host and path shape,
-so a host with a third of all pages is a few rows.  From the root down, each node's branches
-are compared with their siblings: a branch keeps its literal segment only if it has at least
-``support`` pages and its labelled bad rate differs from its siblings' pooled rate (two-sample
-z-test at ``z``); the others merge into the wildcard ``*``.  A node's bad rate is smoothed
-towards its parent's with weight ``alpha`` (the root's towards the corpus rate), and a template
-whose smoothed bad rate is at least ``reject`` is blocked.
-
-Defined results: a null url, or one without ``://``, has empty host and path; pages without
-labels follow the nearest labelled ancestor; with no labels at all nothing is blocked; repeated
-rows agree; paths deeper than ``depth`` segments keep the rest as one last segment.
+A path's segments are its shape: all-digit segments (with or without an extension) are the
+wildcard ``{n}``, other segments with a digit ``{x}``.  Pages are first summed by host and shape,
+so that a host with a third of all pages is as many rows as it has shapes.  From each host down, a node's
+branches are compared: one keeps its literal segment only if it has at least ``support`` pages and
+its labelled bad rate differs from its siblings' pooled rate (two-sample z-test at ``z``); the
+others are alike as far as the labels tell and merge into the wildcard ``*``.  A node's bad rate
+is smoothed towards its parent's with weight ``alpha`` (a host's towards the corpus rate).  Only
+nodes with at least ``support`` pages and labels of both kinds are parted further; what lies
+below any other is one template, ``/**``.  A template whose smoothed rate is at least
+``reject`` is blocked, if a label of its own says so: without a labelled page in it, or in its
+host, a page is allowed whatever the corpus rate.
+
+The tree is read back to pages by shape; shapes of at least one in ``SHARE`` pages, so at most
+``SHARE`` rows, are broadcast, so no hot one meets in a task.
+
+Defined results: a null url, or one without ``://``, has empty host and path; the first ``://``
+counts; with no labels at all nothing is blocked; several labels of one page count as bad if one
+is; repeated rows agree; rates of exactly ``reject`` block; empty segments count; extra columns
+are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,17 +28,21 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.common import materialize, read
 
+SHARE = 1000
 #: Host, path prefix, verdict.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
 
+PARTS = r"(?s)^(?:(?!://).)*+://([^/?#]*+)([^?#]*+)"
+
+
 def host_of(url: Column) -> Column:
-    found = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
+    found = F.regexp_extract(url, PARTS, 1)
     return F.translate(F.coalesce(found, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(url, PARTS, 2), F.lit(""))
 
 
 def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]) -> tuple[Column, Column]:
@@ -42,52 +54,73 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]
     return name, verdict
 
 
-def shape_of(path: Column, depth: int) -> Column:
-    """Segments of the path with variables as ``{n}``; what is deeper than ``depth`` is one segment."""
-    parts = F.split(F.regexp_replace(path, "^/|/+$", ""), "/", depth)
-    return F.transform(parts, lambda s: F.when(s.rlike("[0-9]"), F.lit("{n}")).otherwise(s))
+def shape_of(path: Column) -> Column:
+    """Segments of the path, whole, with variable ones as wildcards."""
+    parts = F.split(F.regexp_replace(path, "^/", ""), "/", -1)
+    kind = lambda s: F.when(s.rlike(r"^[0-9]+(\.[A-Za-z]+)?$"), F.lit("{n}")).when(s.rlike("[0-9]"), F.lit("{x}")).otherwise(s)
+    return F.transform(parts, kind)
+
+
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
 
 
-def template_verdicts(shapes: DataFrame, depth: int, support: int, z: float, alpha: float, reject: float) -> DataFrame:
-    """(host, shape, template, bad_rate, blocked) from (host, shape, n, labelled, bad)."""
-    whole = shapes.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"), F.max(F.size("shape")).alias("deep")).first()
+def template_verdicts(shapes: DataFrame, support: int, z: float, alpha: float, reject: float) -> DataFrame:
+    """(host, shape, n, template, bad_rate, blocked) from (host, shape, n, labelled, bad)."""
+    whole = shapes.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).first()
     prior = (whole.bad or 0) / whole.labelled if whole.labelled else 0.0
-    rows = shapes.withColumn("template", F.lit(""))
-    node = rows.groupBy("host").agg(F.sum("bad").alias("b"), F.sum("labelled").alias("l"))
-    rows = rows.join(node.select("host", ((F.col("b") + alpha * prior) / (F.col("l") + alpha)).alias("rate")), "host")
-    for d in range(min(whole.deep or 0, depth)):
-        rows = rows.withColumn("seg", F.get("shape", F.lit(d)))
-        key = ["host", "template", "seg"]
-        kids = rows.where("seg IS NOT NULL").groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
-        all_ = kids.groupBy("host", "template").agg(F.sum("labelled").alias("al"), F.sum("bad").alias("ab"))
-        kids = kids.join(all_, ["host", "template"])
-        rest = F.col("al") - F.col("labelled")
-        pooled = F.col("ab") / F.greatest(F.col("al"), F.lit(1))
-        gap = F.col("bad") / F.greatest(F.col("labelled"), F.lit(1)) - (F.col("ab") - F.col("bad")) / F.greatest(rest, F.lit(1))
-        error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(F.col("labelled"), F.lit(1)) + 1 / F.greatest(rest, F.lit(1))))
-        apart = (F.col("n") >= support) & (F.col("labelled") > 0) & (rest > 0) & (F.abs(gap) > z * error)
-        branch = F.when(F.col("seg") == "{n}", F.col("seg")).when(apart, F.col("seg")).otherwise(F.lit("*"))
-        kids = kids.select(*key, branch.alias("branch"), "labelled", "bad")
-        sums = kids.groupBy("host", "template", "branch").agg(F.sum("bad").alias("kb"), F.sum("labelled").alias("kl"))
-        kids = kids.drop("labelled", "bad").join(sums, ["host", "template", "branch"])
-        rows = rows.join(kids, key, "left")
-        rate = F.when(F.col("branch").isNull(), F.col("rate")).otherwise((F.col("kb") + alpha * F.col("rate")) / (F.col("kl") + alpha))
-        template = F.when(F.col("branch").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "branch"))
-        rows = materialize(rows.select("host", "shape", "n", "labelled", "bad", template.alias("template"), rate.alias("rate")))
-    return rows.select("host", "shape", "template", F.col("rate").alias("bad_rate"), (F.col("rate") >= reject).alias("blocked"))
-
-
-def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES, depth: int = 8, support: int = 20, z: float = 2.58, alpha: float = 10.0, reject: float = 0.5, id_col: str = "page_id") -> DataFrame:
+    #: pages, labelled and bad pages of the node that a shape has come to
+    of_node = ["n", "labelled", "bad"]
+    smooth = lambda parent: (F.col("bad") + alpha * parent) / (F.col("labelled") + alpha)
+    hosts = shapes.groupBy("host").agg(*_sums()).select("host", F.struct(*of_node).alias("node"), smooth(F.lit(prior)).alias("rate"))
+    rows = materialize(shapes.join(hosts, "host").withColumn("template", F.lit("")))
+    done, depth = [], 0
+    while True:
+        parted = (F.col("node.n") >= support) & (F.col("node.bad") > 0) & (F.col("node.bad") < F.col("node.labelled")) & (F.size("shape") > depth)
+        done.append(rows.where(~parted).withColumn("template", F.when(F.size("shape") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))))
+        rows = rows.where(parted).withColumn("seg", F.get("shape", F.lit(depth)))
+        if rows.isEmpty():
+            break
+        depth += 1
+        key = ["host", "template"]
+        kids = rows.groupBy(*key, "seg").agg(*_sums())
+        every = kids.groupBy(*key).agg(F.sum("labelled").alias("al"), F.sum("bad").alias("ab"))
+        # few branches are left when they meet their siblings' sums
+        kids = kids.where((F.col("n") >= support) & (F.col("labelled") > 0) & ~F.col("seg").isin("{n}", "{x}")).join(every, key)
+        own, rest = F.col("labelled"), F.col("al") - F.col("labelled")
+        pooled = F.col("ab") / F.col("al")
+        gap = F.col("bad") / own - (F.col("ab") - F.col("bad")) / rest
+        error = F.sqrt(pooled * (1 - pooled) * (1 / own + 1 / rest))
+        kept = kids.where((rest > 0) & (F.abs(gap) > z * error)).select(*key, "seg", F.lit(True).alias("kept"))
+        rows = rows.join(materialize(kept), [*key, "seg"], "left")
+        branch = F.when(F.col("kept") | F.col("seg").isin("{n}", "{x}"), F.col("seg")).otherwise(F.lit("*"))
+        rows = rows.withColumn("branch", branch).drop("kept", "seg")
+        sums = rows.groupBy(*key, "branch").agg(*_sums(), F.max("rate").alias("parent"))
+        sums = materialize(sums.select(*key, "branch", F.struct(*of_node).alias("node"), smooth(F.col("parent")).alias("rate")))
+        rows = rows.drop("node", "rate").join(sums, [*key, "branch"])
+        rows = materialize(rows.withColumn("template", F.concat("template", F.lit("/"), "branch")).drop("branch").select(*done[0].columns))
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.select("host", "shape", "n", "template", F.col("rate").alias("bad_rate"), ((F.col("rate") >= reject) & (F.col("node.labelled") > 0)).alias("blocked"))
+
+
+def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES, support: int = 20, z: float = 2.58, alpha: float = 10.0, reject: float = 0.5, id_col: str = "page_id") -> DataFrame:
     """id, host, path, rule, verdict, template, bad_rate; ``labels`` has the id as ``_id`` and ``bad`` (boolean)."""
     own = pages.select(F.col(id_col), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    own = own.withColumn("shape", shape_of(F.col("path"), depth))
+    own = own.withColumn("shape", shape_of(F.col("path")))
     marked = labels.where("bad IS NOT NULL").groupBy("_id").agg(F.max(F.col("bad").cast("int")).alias("bad"))
     seen = own.join(marked, own[id_col] == marked["_id"], "left")
     shapes = materialize(seen.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
-    verdicts = template_verdicts(shapes, depth, support, z, alpha, reject)
+    verdicts = materialize(template_verdicts(shapes, support, z, alpha, reject))
+    total = verdicts.agg(F.sum("n")).first()[0] or 0
+    key, hot = ["host", "shape"], F.col("n") * SHARE >= total
+    often = verdicts.where(hot).drop("n")
+    judged = own.join(F.broadcast(often), key)
+    judged = judged.unionByName(own.join(F.broadcast(often.select(*key)), key, "left_anti").join(verdicts.where(~hot).drop("n"), key))
     name, ruled = rule_for(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))
-    return own.join(verdicts, ["host", "shape"], "left").select(id_col, "host", "path", name.alias("rule"), F.coalesce(ruled, learned).alias("verdict"), "template", "bad_rate")
+    return judged.select(id_col, "host", "path", name.alias("rule"), F.coalesce(ruled, learned).alias("verdict"), "template", "bad_rate")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

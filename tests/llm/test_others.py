@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -72,20 +73,87 @@ def test_shards_of_odd_rows(odd, none, odd_rows):
 
 
 def test_urls(spark):
-    rows = [(0, None), (1, "no scheme"), (2, "http://EXAMPLE.org/es/1?x#y"), (3, "https://a.example.org/en/12"), (4, "http://b.com/fr/x"), (5, "http://b.com/de/x"), (6, "http://b.com"), (7, "http://org/"), (8, "x://a://b/c"), (9, "http://h.net?u=://z/"), (10, "http://notexample.org/es/")]
-    rows += [(100 + i, f"http://s.net/spam/{i}") for i in range(60)] + [(200 + i, f"http://s.net/news/{i}.html") for i in range(60)]
-    pages = spark.createDataFrame(rows + [rows[2]], "page_id bigint, url string").withColumn("shape", F.lit(1))
-    labels = spark.createDataFrame([(i, i < 200) for i in (*range(100, 130), *range(200, 260))], "_id bigint, bad boolean")
-    got = {r.page_id: r for r in url_filter.filter_urls(pages, labels).collect()}
-    assert [(got[i].host, got[i].path, got[i].rule, got[i].verdict) for i in range(11)] == [
-        ("", "", None, "allow"), ("", "", None, "allow"), ("example.org", "/es/1", "example.org/es/", "block"), ("a.example.org", "/en/12", "example.org/en/1", "block"), ("b.com", "/fr/x", "com/fr/", "allow"), ("b.com", "/de/x", "com/de/", "block"),
-        ("b.com", "", None, "allow"), ("org", "/", "org/", "allow"), ("a:", "//b/c", None, "allow"), ("h.net", "", None, "allow"), ("notexample.org", "/es/", "org/", "allow"),
-    ]
-    assert got[150].verdict == "block" and got[150].template == "/spam/{n}" and got[250].verdict == "allow"
+    rows = [(0, None), (1, "no scheme"), (2, "http://EXAMPLE.org/es/1?x#y"), (3, "https://a.example.org/en/12"), (4, "http://b.com/fr/x"), (5, "http://b.com/de/x"), (6, "http://b.com"), (7, "http://org/"), (8, "x://a://b/c"), (9, "http://h.net?u=://z/"), (10, "http://notexample.org/es/"), (11, "http://h.net#a://b/c"), (12, "://"), (13, "http://u.net/" + "a/" * 3000 + "?q"), (14, "")]
+    rows += [(100 + i, f"http://s.net/spam/{i}") for i in range(60)] + [(200 + i, f"http://s.net/news/{i}.html") for i in range(60)] + [(300 + i, f"http://slugs.net/{chr(97 + i % 26)}{'x' * i}") for i in range(60)]
+    pages = spark.createDataFrame(rows + [rows[2]], "page_id bigint, url string").withColumn("shape", F.lit(1)).withColumn("n", F.lit(1)).withColumn("host", F.lit(1))
+    for bad, good in ((range(100, 140), range(200, 240)), (range(100, 130), range(200, 260))):
+        labels = spark.createDataFrame([(i, i < 200) for i in (*bad, *good)], "_id bigint, bad boolean").withColumn("page_id", F.lit(3)).withColumn("host", F.lit("x"))
+        found = url_filter.filter_urls(pages, labels).collect()
+        got = {r.page_id: r for r in found}
+        assert len(found) == len(rows) + 1 and [(got[i].host, got[i].path, got[i].rule, got[i].verdict) for i in range(12)] == [
+            ("", "", None, "allow"), ("", "", None, "allow"), ("example.org", "/es/1", "example.org/es/", "block"), ("a.example.org", "/en/12", "example.org/en/1", "block"), ("b.com", "/fr/x", "com/fr/", "allow"), ("b.com", "/de/x", "com/de/", "block"),
+            ("b.com", "", None, "allow"), ("org", "/", "org/", "allow"), ("a:", "//b/c", None, "allow"), ("h.net", "", None, "allow"), ("notexample.org", "/es/", "org/", "allow"), ("h.net", "", None, "allow"),
+        ]
+        # hosts without a label are allowed, though half of all labels are bad in the first case
+        assert got[150].verdict == "block" and got[150].template == "/spam/**" and got[250].verdict == "allow" and got[310].verdict == "allow"
+        assert got[13].path == "/" + "a/" * 3000 and got[13].verdict == "allow"
     assert len(url_filter.filter_urls(pages, labels.limit(0)).where("verdict = 'block' AND rule IS NULL").collect()) == 0
     assert url_filter.filter_urls(pages.limit(0), labels).count() == 0
 
 
+def brute_templates(pages, labels, support, z, alpha, reject):
+    """(template, blocked) by page id: the tree of each host, by recursion over lists."""
+    shapes, hosts, out = {}, {}, {}
+    for i, url in pages:
+        host, _, path = url.split("://", 1)[1].partition("/")
+        shapes[i] = ["{n}" if re.fullmatch(r"[0-9]+(\.[A-Za-z]+)?", s) else "{x}" if re.search("[0-9]", s) else s for s in path.split("/")]
+        hosts.setdefault(host, []).append(i)
+    count = lambda ids: (sum(i in labels for i in ids), sum(labels.get(i, 0) for i in ids))
+
+    def part(ids, depth, template, parent):
+        labelled, bad = count(ids)
+        rate = (bad + alpha * parent) / (labelled + alpha)
+        blocked = rate >= reject and labelled > 0
+        deeper = [i for i in ids if len(shapes[i]) > depth]
+        parted = len(ids) >= support and 0 < bad < labelled
+        for i in ids:
+            if len(shapes[i]) <= depth:
+                out[i] = (template, blocked)
+            elif not parted:
+                out[i] = (template + "/**", blocked)
+        if not parted:
+            return
+        kids, branches = {}, {}
+        for i in deeper:
+            kids.setdefault(shapes[i][depth], []).append(i)
+        al, ab = count(deeper)
+        for seg, own in kids.items():
+            l, b = count(own)
+            keep = seg in ("{n}", "{x}")
+            if not keep and len(own) >= support and 0 < l < al:
+                p = ab / al
+                keep = abs(b / l - (ab - b) / (al - l)) > z * (p * (1 - p) * (1 / l + 1 / (al - l))) ** 0.5
+            branches.setdefault(seg if keep else "*", []).extend(own)
+        for seg, own in branches.items():
+            part(own, depth + 1, f"{template}/{seg}", rate)
+
+    prior = sum(labels.values()) / len(labels)
+    for ids in hosts.values():
+        part(ids, 0, "", prior)
+    return out
+
+
+def test_template_tree_against_brute_force(spark, monkeypatch):
+    rng = random.Random(21)
+    pages, labels = [], {}
+    for i in range(2600):
+        host = rng.choices(["hot.net", "b.net", "c.net"], [6, 2, 1])[0]
+        path = [rng.choice(["en", "de", "shop", "tag"])] + [rng.choice(["old", "new", "7", "v2", "12.html", ""]) for _ in range(rng.randint(0, 3))]
+        if rng.random() < 0.1:
+            path = [f"slug{''.join(rng.choices('abcdef', k=6))}"]
+        pages.append((i, f"http://{host}/" + "/".join(path)))
+        if rng.random() < 0.5:
+            labels[i] = int(rng.random() < (0.95 if path[0] == "tag" or path[1:2] == ["old"] and host == "hot.net" else 0.15))
+    frame = spark.createDataFrame([(i, bool(b)) for i, b in labels.items()], "_id bigint, bad boolean")
+    docs = spark.createDataFrame(pages, "page_id bigint, url string").repartition(3)
+    want = brute_templates(pages, labels, 20, 2.58, 10.0, 0.5)
+    for share in (1000, 3):
+        monkeypatch.setattr(url_filter, "SHARE", share)
+        got = {r.page_id: (r.template, r.verdict == "block") for r in url_filter.filter_urls(docs, frame, rules=()).collect()}
+        assert got == want
+    assert len({t for t, _ in want.values()}) > 8 and 0 < sum(b for _, b in want.values()) < len(pages) / 2
+
+
 def test_pipeline_against_brute_force(spark, tables):
     from tests.llm.test_pairs import brute_components, brute_hits
 
