@@ -50,6 +50,15 @@ def spread(col: Column, seed: int) -> Column:
     return F.xxhash64(col.cast("string"), F.lit(seed))
 
 
+def window_of(text: Column, chars: int, seed: int) -> Column:
+    """The text, or where it is longer than ``chars`` a window of that length at an offset drawn from its hash.
+
+    For samples that go to the driver: any part of a long text may be drawn, not its start.
+    """
+    start = F.pmod(F.xxhash64(text, F.lit(seed)), F.length(text) - chars + 1).cast("int")
+    return F.when(F.length(text) <= chars, text).otherwise(F.substring(text, start + 1, F.lit(chars)))
+
+
 def release_memory() -> None:
     """Give what a Python worker has freed back to the machine; workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

@@ -6,15 +6,22 @@ weight per (feature, label) and per label pair, and Viterbi decoding gives the b
 sequence.  A document is kept when the characters in content lines are at least
 ``min_content`` of the characters in all lines with a word.
 
-Training maximises the conditional likelihood (exact forward-backward gradients) on a sample
-of at most ``train_docs`` labelled documents, under 8,000
-characters, chosen by a hash of the id, half of either label at most.  Lines get provisional labels from seeds: licence and rights notices,
-table rows, shouting, symbol-laden and looping lines of low-quality documents are
-boilerplate, prose lines are content.  Without labelled rows the seeds alone train on
-documents of the table.
+Lines have no labels, documents do (``labels.quality``), and these bind their lines: most
+characters of a good document are content, most of a bad one boilerplate.  All lines start with
+their document's label, but notices and repeated lines, which start as boilerplate everywhere.
+Then training (gradient ascent on the conditional likelihood, exact by forward-backward) and
+relabelling take turns: a document's lines get the best sequence that its label allows, found by
+raising a multiplier on its label until the share is right.  So lines may differ from their
+document, and the field learns from the lines of bad documents what no rule here says.
+
+The fit uses at most ``train_docs`` labelled documents, half of either label, in the order of a
+hash of the id, of longer texts a window of ``train_chars`` characters at a drawn offset.  Without
+labelled rows, all documents of the sample count as good.
 
 Defined results: null or empty text has no words, so it fails the base rule and is not kept;
-repeated rows get the same verdict; extra columns are ignored; an empty table gives no rows.
+repeated rows get the same verdict; equal scores decode as content; of one id's several texts
+those of the least hashes are learned; extra columns, also with names of results, are ignored
+or, by ``keep_good``, passed on; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,10 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import read, release_memory, spread
+from palimpsest.llm.common import read, release_memory, spread, window_of
 
 #: White space that parts words: space and the characters 9 to 13, nothing else.
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -35,7 +43,7 @@ SYMBOLS = "#*$%&|<>"
 #: Phrases, in lower case, that mark a notice.
 NOTICES = ("licensed under", "licensed to", "under the mit license", "all rights reserved", "copyright", "cookie", "terms of use", "terms of service", "privacy policy")
 CONTENT, BOILERPLATE = 0, 1
-FEATURES = 10
+FEATURES, NOTICE, SEEN = 20, 1, 2
 SPAN = 5
 
 
@@ -84,17 +92,31 @@ def line_features(line: str, seen: bool) -> list[float]:
     words = WORDS.findall(line)
     n = len(words)
     lowered = line.lower()
+    signs = sum(map(line.count, SYMBOLS)) / n
+    upper = sum(map(str.isupper, words)) / n
+    fresh = len(set(words)) / n if n >= 8 else 1
+    short = sum(len(w) <= 3 for w in words) / n
     return [
         1.0,
         float(any(x in lowered for x in NOTICES)),
-        float(n >= 3 and sum(map(line.count, SYMBOLS)) >= 0.5 * n),
-        float(len(line) >= 8 and line.isupper()),
-        float(line.count(" | ") >= 2),
-        float(n >= 8 and len(set(words)) < 0.4 * n),
         float(seen),
+        float(signs >= 0.1),
+        float(signs >= 0.4),
+        float(signs >= 0.9),
+        float(upper >= 0.3),
+        float(upper >= 0.8),
+        float(line.count("!") >= 0.5 * n),
+        float(line.count("/") >= 0.3 * n),
+        float(sum(map(str.isdigit, words)) >= 0.2 * n),
+        float(fresh < 0.4),
+        float(fresh < 0.7),
         float(n < 4),
-        float(line[-1:] in ".!?\""),
         float(n >= 8),
+        float(n >= 25),
+        float(short >= 0.25),
+        float(sum(map(len, words)) >= 9 * n),
+        float(line[-1:] in ".!?\""),
+        float(line[:1].isupper()),
     ]
 
 
@@ -109,9 +131,27 @@ def line_table(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows).reshape(-1, FEATURES), np.array(sizes, np.int64)
 
 
-def seed_labels(x: np.ndarray) -> np.ndarray:
-    """Provisional labels: any of the boilerplate indicators 1 to 6 makes a line boilerplate."""
-    return np.where(x[:, 1:7].any(1), BOILERPLATE, CONTENT)
+def seed_labels(x: np.ndarray, good: bool) -> np.ndarray:
+    """The document's label for all lines but notices and repeated lines."""
+    rest = CONTENT if good else BOILERPLATE
+    return np.where((x[:, NOTICE] > 0) | (x[:, SEEN] > 0), BOILERPLATE, rest)
+
+
+def allowed(labels: np.ndarray, sizes: np.ndarray, good: bool, share: float = 0.5) -> bool:
+    """Whether lines of these labels make a document good or bad."""
+    return (sizes[labels == CONTENT].sum() >= share * sizes.sum()) == good
+
+
+def bound_labels(emit: np.ndarray, move: np.ndarray, sizes: np.ndarray, good: bool) -> np.ndarray:
+    """The best label sequence that the document's label allows, by raising a multiplier on that label."""
+    wanted = CONTENT if good else BOILERPLATE
+    for more in (0.0, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0):
+        own = emit.copy()
+        own[:, wanted] += more
+        labels = viterbi(own, move)
+        if allowed(labels, sizes, good):
+            return labels
+    return np.full(len(emit), wanted)
 
 
 def viterbi(emit: np.ndarray, move: np.ndarray) -> np.ndarray:
@@ -134,12 +174,9 @@ def _logsum(a: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(a - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def train_crf(tables: list[np.ndarray], rounds: int = 40, rate: float = 1.0, decay: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (FEATURES, 2) and transitions (2, 2) by gradient ascent on the conditional likelihood."""
-    weight, move = np.zeros((FEATURES, 2)), np.zeros((2, 2))
-    tables = [t for t in tables if len(t)]
+def ascend(tables: list[np.ndarray], gold: list[np.ndarray], weight: np.ndarray, move: np.ndarray, rounds: int, rate: float, decay: float) -> None:
+    """Move the weights (FEATURES, 2) and transitions (2, 2) up the conditional likelihood of ``gold``."""
     total = max(1, sum(map(len, tables)))
-    gold = [seed_labels(t) for t in tables]
     for _ in range(rounds):
         up_w, up_m = -decay * weight * total, -decay * move * total
         for x, y in zip(tables, gold, strict=True):
@@ -158,48 +195,81 @@ def train_crf(tables: list[np.ndarray], rounds: int = 40, rate: float = 1.0, dec
                 up_m -= pair.sum(0)
         weight += rate * up_w / total * 4
         move += rate * up_m / total * 4
+
+
+def train_crf(texts: list[str], good: list[bool], turns: int = 3, rounds: int = 14, rate: float = 0.7, decay: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions from documents and their labels."""
+    weight, move = np.zeros((FEATURES, 2)), np.zeros((2, 2))
+    rows = [(*line_table(t), g) for t, g in zip(texts, good, strict=True)]
+    rows = [r for r in rows if len(r[0])]
+    tables = [x for x, _, _ in rows]
+    gold = [y if allowed(y, sizes, g) else np.full(len(x), CONTENT if g else BOILERPLATE) for x, sizes, g in rows for y in [seed_labels(x, g)]]
+    for turn in range(turns):
+        if turn:
+            gold = [bound_labels(x @ weight, move, sizes, g) for x, sizes, g in rows]
+        ascend(tables, gold, weight, move, rounds, rate, decay)
     return weight, move
 
 
-def fit(docs: DataFrame, labels: DataFrame | None, train_docs: int = 240, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
-    """Train on a bounded sample of labelled documents (or of all, without labels)."""
-    own = docs.select(F.col(id_col).alias("id"), F.col("text").alias("text")).where("text IS NOT NULL AND length(text) < 8000")
-    parts = [own]
+def fit(docs: DataFrame, labels: DataFrame | None, train_docs: int = 240, train_chars: int = 8_000, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
+    """Train on a bounded sample of labelled documents (of all, as good ones, without labels)."""
+    own = docs.select(F.col(id_col).alias("id"), F.col("text").alias("text")).where("text IS NOT NULL")
+    drawn = lambda df: df.orderBy(spread(F.col("id"), 9), F.xxhash64("text")).limit(train_docs // 2).select(window_of(F.col("text"), train_chars, 9).alias("text")).collect()
+    texts, good = [], []
     if labels is not None:
         marked = labels.select(F.col("doc_id").alias("id"), "quality").where("id IS NOT NULL")
-        parts = [own.join(marked.where(F.col("quality") == q).orderBy(spread(F.col("id"), 9)).limit(train_docs // 2), "id", "left_semi") for q in (0, 1)]
-    texts = [r.text for p in parts for r in p.select("text").limit(train_docs).collect()]
-    return train_crf([line_table(t)[0] for t in sorted(texts)])
-
-
-def judge(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: float = 0.5, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Base counts, the share of content and the verdict for every document; ``keep`` passes columns through."""
-    weight, move = model
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema}
-    carried = [id_col, *keep]
-    schema = ", ".join([f"`{c}` {fields[c]}" for c in carried] + ["n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"])
-
-    def share(text: str) -> float:
-        x, sizes = line_table(text)
-        if not len(x):
-            return 0.0
-        return float(sizes[viterbi(x @ weight, move) == CONTENT].sum() / sizes.sum())
+        for q in (0, 1):
+            # the sample's ids, bounded by the limit, are broadcast
+            ids = marked.where(F.col("quality") == q).select("id").distinct().orderBy(spread(F.col("id"), 9), "id").limit(train_docs // 2)
+            found = drawn(own.join(F.broadcast(ids), "id", "left_semi"))
+            texts += [r.text for r in found]
+            good += [q == 1] * len(found)
+    if not texts:
+        texts = [r.text for r in drawn(own)]
+        good = [True] * len(texts)
+    return train_crf(texts, good)
+
+
+def content_share(text: str, model: tuple[np.ndarray, np.ndarray]) -> float:
+    """Characters in content lines of those in all lines with a word; 0 without such a line."""
+    x, sizes = line_table(text)
+    if not len(x):
+        return 0.0
+    return float(sizes[viterbi(x @ model[0], model[1]) == CONTENT].sum() / sizes.sum())
+
+
+def judge(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: float = 0.5, id_col: str = "doc_id") -> DataFrame:
+    """Base counts, the share of content and the verdict for every document."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept"]
+    schema = f"`{id_col}` {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for text in pdf["text" if "text" in carried else "_text"]:
-                text = text or ""
-                base = count_base(text)
-                part = share(text)
+            for text in pdf["_text"]:
+                base, part = count_base(text or ""), content_share(text or "", model)
                 rows.append((*base, part, bool(not base[-1] and part >= min_content)))
-            got = pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept"])
-            for i, c in enumerate(carried):
-                got.insert(i, c, pdf[c].array)
+            got = pd.DataFrame(rows, columns=names)
+            got.insert(0, id_col, pdf["_id"].array)
             yield got
         release_memory()
 
-    return docs.select(*[F.col(f"`{c}`") for c in carried], *([] if "text" in carried else [F.col("text").alias("_text")])).mapInPandas(run, schema)
+    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.col("text").alias("_text")).mapInPandas(run, schema)
+
+
+def keep_good(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that ``judge`` keeps."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = (t.as_py() or "" for t in batch.column(at))
+            stay = [not count_base(t)[-1] and content_share(t, model) >= min_content for t in texts]
+            yield batch.filter(pa.array(stay, pa.bool_()))
+        release_memory()
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from palimpsest.llm.bpe import op8_bpe
-import corpus_pipeline
 from palimpsest.llm import decontamination
 from palimpsest.llm.language_id import op7_language_id
 from palimpsest.llm.ngram_join import op2_ngram_join
@@ -25,7 +24,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {

@@ -129,3 +129,54 @@ def test_rules_on_odd_rows(spark, odd, none, odd_rows, tables):
     assert quality_rules.judge(none, model).count() == 0
     untrained = quality_rules.fit(none, None)
     assert quality_rules.judge(odd, untrained).count() == len(odd_rows)
+
+
+def test_lines_follow_their_documents_labels():
+    """Junk that no seed names is learned from bad documents; multipliers keep each document within its label."""
+    rng = np.random.default_rng(8)
+    words = ["river", "house", "the", "of", "walks", "slowly", "and", "green"]
+    prose = lambda: " ".join(rng.choice(words, 9)).capitalize() + "."
+    junk = lambda: " ".join(f"{w}/{w}" for w in rng.choice(words, 9))
+    texts = ["\n".join([prose(), junk(), junk(), junk()]) if i % 2 else "\n".join([prose(), prose(), junk(), prose()]) for i in range(60)]
+    model = quality_rules.train_crf(texts, [i % 2 == 0 for i in range(60)])
+    decode = lambda t: quality_rules.viterbi(quality_rules.line_table(t)[0] @ model[0], model[1]).tolist()
+    assert decode("\n".join([prose(), prose(), prose(), junk(), junk(), junk()])) == [0, 0, 0, 1, 1, 1]
+    assert quality_rules.content_share("\n".join([prose()] * 4), model) == 1 and quality_rules.content_share(junk() + "\n" + junk(), model) == 0
+    for good in (True, False):
+        for t in texts[:8]:
+            x, sizes = quality_rules.line_table(t)
+            assert quality_rules.allowed(quality_rules.bound_labels(x @ model[0], model[1], sizes, good), sizes, good)
+
+
+def test_field_gradient():
+    """``ascend`` moves along the gradient of the log-likelihood that plain enumeration gives."""
+    import itertools
+
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 2, (4, quality_rules.FEATURES)).astype(float), np.array([0, 1, 1, 0])
+
+    def likelihood(weight, move):
+        emit = x @ weight
+        score = lambda s: sum(emit[i, s[i]] for i in range(4)) + sum(move[s[i], s[i + 1]] for i in range(3))
+        return score(y) - np.log(sum(np.exp(score(s)) for s in itertools.product((0, 1), repeat=4)))
+
+    start, move = rng.normal(size=(quality_rules.FEATURES, 2)), rng.normal(size=(2, 2))
+    w, m = start.copy(), move.copy()
+    quality_rules.ascend([x], [y], w, m, 1, 1.0, 0.0)
+    for at in [(3, 0), (7, 1), (0, 0)]:
+        step = np.zeros_like(start)
+        step[at] = 1e-5
+        assert abs((likelihood(start + step, move) - likelihood(start - step, move)) / 2e-5 - (w - start)[at]) < 1e-6
+    step = np.zeros((2, 2))
+    step[0, 1] = 1e-5
+    assert abs((likelihood(start, move + step) - likelihood(start, move - step)) / 2e-5 - (m - move)[0, 1]) < 1e-6
+
+
+def test_kept_documents_keep_their_columns(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    model = quality_rules.fit(docs, spark.read.parquet(f"{tables}/labels.parquet"))
+    for c in ("n_words", "kept", "_id", "_text", "content_share"):
+        docs = docs.withColumn(c, F.lit("x"))
+    got = quality_rules.keep_good(docs, model)
+    assert got.schema == docs.schema
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in quality_rules.judge(docs, model).where("kept").collect())
