@@ -3,6 +3,10 @@
 Each stage takes (session, documents, folder of the tables), works on all rows that the one
 before it kept, and returns the columns of ``documents``; the last returns counts and digests
 of each document's tokens.  Stages are written to the shared folder and read back in between.
+
+Defined results: a null or empty text fails the quality rules, so its row goes; of repeated rows,
+and of all texts that near duplicates link, one stays, also under equal ids; extra columns pass
+to the last stage, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,9 +20,7 @@ from palimpsest.llm.common import materialize, read
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the line field reject go."""
-    model = quality_rules.fit(docs, read(spark, sf_dir, "labels"))
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return quality_rules.judge(docs, model, keep=others).where("kept").select(*docs.columns)
+    return quality_rules.keep_good(docs, quality_rules.fit(docs, read(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
