@@ -18,10 +18,11 @@ results.  Copies of one text in several blocks count several times; frequencies
 and l, never the outcome.
 
 Large groups of near copies cost no pair list.  While ``CROWD`` or more nodes of several
-components share an element, every node is paired in rounds with one node, a hub that differs
-from round to round, of those that share such elements, and links join components; a round
-that links few of its pairs is the last.  Then the pairs of different components, and only
-those, are listed, filtered as above, and verified.  No link between components can be missed.
+components share an element, nodes are paired in rounds with hubs, a few of the nodes that share
+such elements and are of other components, and links join components.  The first round takes one
+hub a node, every further one twice as many, up to ``LOOKS``; from then on a round that links few
+of its pairs is the last.  Then the pairs of different components, and only those, are listed,
+filtered as above, and verified.  No link between components can be missed.
 
 Defined results: null text, or text without a word, has no shingles and is linked with nothing;
 fewer than five words are one shingle; equal texts, also under equal ids, are linked; a null id
@@ -32,13 +33,13 @@ an empty table gives no rows.  Ties in frequency are broken by hash.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,29 +52,66 @@ BLOCK_TOKENS, BUCKET_TOKENS, TEXT_BYTES = 2_000_000, 1_000_000, 6
 LEAST_DF, FREQUENT = 4, 2_000_000
 #: Greatest l; elements of unknown frequency that a set shares with unrelated sets; what one more match leaves of those.
 LEVELS, PRIOR, DECAY = 16, 0.01, 0.5
-#: Nodes that share an element and are worth a round; a round goes on that links one in so many of its pairs.
-CROWD, WORTH = 32, 20
+#: Nodes that share an element and are worth a round; most hubs a node; the last round links less than one in ``WORTH`` pairs.
+CROWD, LOOKS, WORTH = 32, 8, 20
 BROADCAST_ROWS = 200_000
-WORD_CACHE = 100_000
 #: A prefix element on its way to its bucket: half of the node's digest stands for the node.
 ELEMENT = np.dtype([("token", "<u8"), ("short", "<i8"), ("n", "<i4"), ("pos", "<i4"), ("ell", "<i1")])
-_words: dict[bytes, int] = {}
+#: Words are hashed as polynomials of their bytes modulo 2**64, in pieces of about this many bytes.
+PIECE = 1 << 17
+BASE = 0x9E3779B97F4A7C15
+IN_WORD = np.ones(256, bool)
+IN_WORD[[32, 9, 10, 11, 12, 13]] = False
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def _word_hash(word: bytes) -> int:
-    if len(_words) > WORD_CACHE:
-        _words.clear()
-    h = _words[word] = xxhash.xxh3_64_intdigest(word)
-    return h
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base & (2**64 - 1), np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+POWERS, INVERSES = _powers(BASE, PIECE), _powers(pow(BASE, -1, 2**64), PIECE)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def _piece_hashes(piece: bytes) -> np.ndarray:
+    """A hash of each word: the difference of two running sums, moved to the word's start."""
+    n = len(piece)
+    data = np.frombuffer(piece, np.uint8)
+    up, down = (POWERS, INVERSES) if n <= PIECE else (_powers(BASE, n), _powers(pow(BASE, -1, 2**64), n))
+    word = np.zeros(n + 2, bool)
+    word[1:-1] = IN_WORD[data]
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * up[:n], out=sums[1:])
+    starts, ends = edges[::2], edges[1::2]
+    return _mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash of each word, A-Z lower-cased; pieces end where a word does."""
+    data = text.encode().lower()
+    if len(data) <= PIECE:
+        return _piece_hashes(data)
+    out, at = [], 0
+    while at < len(data):
+        end = SPACE.search(data, at + PIECE)
+        end = end.start() if end else len(data)
+        out.append(_piece_hashes(data[at:end]))
+        at = end
+    return np.concatenate(out)
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text."""
-    words = (text or "").encode().lower().split()  # bytes: A-Z only, and exactly the contract's white space
-    if not words:
-        return np.empty(0, np.uint64)
-    get = _words.get
-    h = np.fromiter([get(w) or _word_hash(w) for w in words], np.uint64, len(words))
+    h = word_hashes(text or "")
+    if not len(h):
+        return h
     span = min(SHINGLE, len(h))
     n = len(h) - span + 1
     acc = np.full(n, span, np.uint64)
@@ -144,7 +182,6 @@ def profile(docs: DataFrame, bits: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=["doc_id", "text_key", "n", "node", "short", "bucket"]).assign(tokens=None, counts=None)
         if block:
             yield report()
-        _words.clear()
         release_memory()
 
     def add_up(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -172,10 +209,14 @@ def first_prefix(size: int) -> int:
 
 
 def choose_level(df: np.ndarray) -> int:
-    """l of least estimated cost for a set whose elements, in order, are in ``df`` sets (1: unknown, few)."""
+    """l of least estimated cost for a set whose elements, in order, are in ``df`` sets (1: unknown, few).
+
+    Partners are taken to be of the same size, as near copies mostly are: what they share stands
+    in a prefix of about half the length that the smallest partner needs.
+    """
     size = len(df)
-    first = first_prefix(size)
-    levels = np.arange(min(LEVELS, size - first + 1))
+    first = size - (2 * PERCENT * size + 99 + PERCENT) // (100 + PERCENT) + 1
+    levels = np.arange(min(LEVELS, size - first_prefix(size) + 1))
     rows = np.cumsum(df[: first + len(levels) - 1])[first - 1 :]
     candidates = (df[:first] - 1).sum() + PRIOR * first
     return 1 + int(np.argmin(rows + size * candidates * DECAY**levels))
@@ -270,7 +311,6 @@ def prefixes(docs: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
                         yield elements(tokens, df, short_of(node))
 
             yield from send(found(), bits)
-            _words.clear()
             release_memory()
 
         sent = docs.select("text").mapInPandas(run, SENT)
@@ -354,7 +394,6 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-        _words.clear()
         release_memory()
 
     return materialize(left.join(right, "b").select("a", "b", "ta", "tb").mapInArrow(linked, "a long, b long").distinct())
@@ -392,27 +431,30 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def link_classes(shared: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(id, comp) of all nodes that are linked, from prefix elements (token, id, n, pos, ell); None without links."""
-    labels, active, turn = None, shared.withColumn("comp", F.col("id")), 0
+    labels, active, looks = None, shared.withColumn("comp", F.col("id")), 1
     while True:
-        turn += 1
-        hub = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "n", "pos", "ell", "comp")).alias("hub")
-        own = active.groupBy("token", "comp").agg(F.count("*").alias("held"), hub)
-        hubs = own.groupBy("token").agg(F.sum("held").alias("held"), F.count("*").alias("comps"), F.min("hub").alias("hub")).where("comps > 1")
-        hubs = materialize(hubs.select("token", "held", "hub.*"))
+        each = F.struct("id", "n", "pos", "ell", "comp")
+        # the first hub of an element is the node with the fewest rarer elements, others are drawn
+        draws = [F.min(F.struct(F.col("pos").cast("long").alias("draw") if i == 0 and looks == 1 else F.xxhash64("id", F.lit(looks + i)).alias("draw"), each.alias("hub"))).alias(f"d{i}") for i in range(looks)]
+        hubs = active.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("held"), *draws).where("c1 < c2")
+        hubs = materialize(hubs.select("token", "held", F.array_distinct(F.array(*[F.col(f"d{i}.hub") for i in range(looks)])).alias("hubs")))
         active = materialize(active.join(hubs.select("token"), "token", "left_semi"))
         crowded = hubs.where(F.col("held") >= CROWD)
         if crowded.isEmpty():
             break
-        met = active.alias("x").join(crowded.alias("h"), "token").where((F.col("x.comp") != F.col("h.comp")) & _may_link("x", "h"))
-        met = met.groupBy(F.col("x.id").alias("a"), F.col("h.id").alias("b")).agg(F.count("*").alias("met"))
-        pairs = materialize(met.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")))
+        met = active.alias("x").join(crowded.select("token", F.explode("hubs").alias("hub")).select("token", "hub.*").alias("h"), "token")
+        met = met.where((F.col("x.comp") != F.col("h.comp")) & _may_link("x", "h")).groupBy(F.col("x.id").alias("a"), F.col("h.id").alias("b")).agg(F.count("*").alias("met"))
+        # as many pairs of each node as there are looks; a node meets at most its elements' hubs
+        best = F.slice(F.sort_array(F.collect_list(F.struct("met", "b")), asc=False), 1, looks)
+        pairs = materialize(met.groupBy("a").agg(best.alias("best")).select("a", F.explode("best.b").alias("b")))
         found = verify(pairs, texts)
         n = found.count()
         if n:
             labels = _joined(labels, found)
             active = materialize(active.drop("comp").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
-        if n * WORTH < pairs.count() or not n:
+        if looks >= LOOKS and n * WORTH <= pairs.count():
             break
+        looks = min(2 * looks, LOOKS)
 
     met = active.alias("x").join(active.alias("y"), "token").where((F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
     rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))

@@ -75,6 +75,20 @@ def test_order_levels_and_rounds_lose_no_link(spark, monkeypatch):
         assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows)
 
 
+def test_words_hash_alike_wherever_they_stand(monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(["a", "B", "é ", "\n", " ", "\x1c", "\xa0", "xyz"], k=rng.randint(0, 60))) for _ in range(500)] + ["w " * 3000, "x" * 900 + " y", " " * 900, "\t"]
+    hashes = {}
+    for piece in (ngram_join.PIECE, 64):
+        monkeypatch.setattr(ngram_join, "PIECE", piece)
+        for t in texts:
+            words, got = t.encode().lower().split(), ngram_join.word_hashes(t).tolist()
+            assert len(words) == len(got)
+            for w, h in zip(words, got, strict=True):
+                assert hashes.setdefault(w, h) == h
+    assert len(set(hashes.values())) == len(hashes)
+
+
 def test_a_large_group_at_the_threshold(spark):
     """Near copies of one text of which many pairs miss the threshold by little, among unrelated texts of a common passage."""
     rng = random.Random(12)
