@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Callable
 from urllib.parse import parse_qsl, urljoin, urlsplit
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.encoding import decode
 from palimpsest.functions.markup import DROPPED, Node, parse, parse_srcset, rewrite_css, safe_declarations, serialize_srcset
-from palimpsest.functions.urls import canonical
+from palimpsest.functions.urls import REPLAY, canonical
 from palimpsest.profile import FORUM, SiteProfile
 
 #: The policy of published pages, what is active in drawings, attributes that load.
@@ -44,11 +45,13 @@ def mark_missing(node: Node, attribute: str) -> None:
 def absolute(base: str, reference: str) -> str | None:
     try:
         url = urljoin(base, reference.strip())
+        if inner := re.match(REPLAY, url):
+            url = inner[1]
         parts = urlsplit(url)
         _ = parts.port
     except ValueError:
         return None
-    return url if parts.scheme in ("http", "https") and parts.hostname else None
+    return url if parts.scheme in ("http", "https") and parts.hostname and parts.hostname != "web.archive.org" else None
 
 
 def preserve_css(css: str, base: str, output: str, resource: Lookup) -> str:
@@ -95,6 +98,7 @@ def preserve_page(raw: bytes, url: str, output: str, page: Lookup, resource: Loo
             found = (page(target) or resource(target)) if target else None
             if found:
                 path, _, fragment = found.partition("#")
+                fragment = fragment or urlsplit(target).fragment
                 node.attrs["href"] = relative(output, path) + (f"#{fragment}" if fragment else "")
             else:
                 mark_missing(node, "href")
@@ -159,8 +163,8 @@ def _localise(node: Node, attribute: str, url: str, output: str, resource: Looku
 def render(pages: DataFrame, profile: SiteProfile = FORUM) -> DataFrame:
     """(route, html) from (route, original_url, content, links, resources).
 
-    ``links`` maps absolute addresses to routes, ``resources`` canonical addresses to targets;
-    both hold one page's few entries, joined before.
+    ``links`` maps canonical addresses to routes, ``resources`` canonical addresses to targets;
+    both hold one page's few entries, joined before.  A link keeps its own fragment.
     """
 
     def run(batches):
@@ -168,7 +172,7 @@ def render(pages: DataFrame, profile: SiteProfile = FORUM) -> DataFrame:
             out = []
             for route, url, raw, links, resources in zip(pdf["route"], pdf["original_url"], pdf["content"], pdf["links"], pdf["resources"], strict=True):
                 links, resources = dict(links or {}), dict(resources or {})
-                out.append((route, preserve_page(bytes(raw or b""), url, route, links.get, lambda u, r=resources: r.get(canonical(u, profile)))))
+                out.append((route, preserve_page(bytes(raw or b""), url, route, lambda u, m=links: m.get(canonical(u, profile)), lambda u, m=resources: m.get(canonical(u, profile)))))
             yield pd.DataFrame(out, columns=["route", "html"])
 
     return pages.select("route", "original_url", "content", "links", "resources").mapInPandas(run, "route string, html string")

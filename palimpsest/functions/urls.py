@@ -101,7 +101,7 @@ def canonical(url: str, profile: SiteProfile = FORUM) -> str:
         return url
     pairs = [(k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if k.lower() not in profile.session_keys and not (k.lower() == profile.start_key and v in ("", "0"))]
     pairs.sort(key=lambda kv: (kv[0].casefold(), kv[1]))
-    p = re.sub("/{2,}", "/", parts.path)
+    p = re.sub("/{2,}", "/", parts.path or "/")
     ext = p.rsplit("/", 1)[-1].rpartition(".")[2].lower() if "." in p.rsplit("/", 1)[-1] else ""
     if h in profile.hosts and ext not in ASSETS and ext not in ATTACHMENTS:
         p = p.lower()

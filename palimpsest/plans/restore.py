@@ -78,11 +78,12 @@ def restore(rows: DataFrame, blobs: DataFrame, period: Period | None = None, pro
     merged = latest_wins(posts, ["identity_sha256"], "timestamp", ["ord", "position"], winner, ["topic_title", "forum_name"], {"first_capture_id": "capture_id"}, ["post_id"]).withColumnRenamed("timestamp", "best_capture_timestamp").withColumnRenamed("post_id", "historical_id")
     sources = posts.select("identity_sha256", "capture_id").distinct()
 
-    seen = posts.select("era", "forum_id", "topic_id", "topic_title", "forum_name", "timestamp", "ord", F.lit(0).alias("stage"), "position")
+    # of a page's posts the first of each forum and topic speaks for it; of pages the last that has a value
     listed = listings.select("era", "forum_id", "topic_id", F.col("title").alias("topic_title"), F.lit(None).cast("string").alias("forum_name"), "timestamp", "ord", F.lit(1).alias("stage"), "position")
-    both = seen.unionByName(listed)
     last = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("ord", "stage", "position", c)))[c]
-    forums = both.where("forum_id IS NOT NULL").groupBy("era", "forum_id").agg(last("forum_name").alias("name"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"))
+    forums = _of_pages(posts, "forum_id", ["forum_name"]).unionByName(listed.select("era", "forum_id", "forum_name", "timestamp", "ord", "stage", "position"))
+    forums = forums.where("forum_id IS NOT NULL").groupBy("era", "forum_id").agg(last("forum_name").alias("name"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"))
+    both = _of_pages(posts, "topic_id", ["forum_id", "topic_title"]).unionByName(listed.drop("forum_name"))
 
     people = _evidence(listings)
     users = _users(posts, people)
@@ -99,6 +100,13 @@ def restore(rows: DataFrame, blobs: DataFrame, period: Period | None = None, pro
     return Archive(captures, references, merged, sources, topics, forums, users, evidence)
 
 
+def _of_pages(posts: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """The first post's ``values`` for each ``key`` of each page, as rows of stage 0."""
+    first = F.min_by(F.struct(*values), "position").alias("v")
+    rows = posts.where(F.col(key).isNotNull()).groupBy("era", key, "capture_id", "timestamp", "ord").agg(first, F.min("position").alias("position"))
+    return rows.select("era", key, *[F.col(f"v.{c}").alias(c) for c in values], "timestamp", "ord", F.lit(0).alias("stage"), "position")
+
+
 def _evidence(listings: DataFrame) -> DataFrame:
     """Authors and last posters of topic listings, one row each."""
     shared = ["era", "capture_id", "timestamp", "ord", "position", "topic_id", "forum_id", F.col("title").alias("topic_title")]
@@ -171,7 +179,7 @@ def resource_closure(archive: Archive, pages: DataFrame, profile: SiteProfile =
     style sheets, from each other, each hop as of its own referrer's time; and the missing addresses.
     """
     usable = archive.captures.where((F.coalesce("statuscode", F.lit(200)) == 200) & ~F.col("mimetype").isin(*HTML) & (F.col("byte_length") > 0)).drop("content")
-    target = routes.target_of("sha256", "original_url", "mimetype")
+    target = routes.target_of("sha256", "original_url", "mimetype", "timestamp")
     same = F.when(F.col("mimetype") == "text/css", F.concat_ws("|", "sha256", "canonical_url", "timestamp")).otherwise(F.col("sha256"))
     # one copy of equal contents: that of the least address, time and id
     placed = usable.withColumn("identity", same).withColumn("target", target)

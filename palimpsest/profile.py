@@ -36,7 +36,7 @@ class SiteProfile:
     bare_after: str = ""
     bare_until: str = "200706"
     bare_paths: tuple[str, ...] = ("", "/", "/default.aspx", "/index.php")
-    bare_prefixes: tuple[str, ...] = ("/feed/", "/languages/", "/search/")
+    bare_prefixes: tuple[str, ...] = ("/feed/", "/languages/", "/recentes/", "/search/")
 
 
 FORUM = SiteProfile(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable
 from functools import wraps
@@ -30,14 +31,18 @@ def prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` in the shared folder that ``spark.checkpoint.dir`` names and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; without it one under /tmp, in local mode only."""
+    if base := spark.conf.get("spark.checkpoint.dir", None):
+        return base.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file:///tmp/palimpsest-checkpoints"
+
 
-    Cuts lineage in a way that survives lost executors; only where the setting is missing
-    (local tests) is a folder under /tmp used.
-    """
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` in the shared folder and read it back: cuts lineage in a way that survives lost executors."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/palimpsest-checkpoints"
-    path = f"{base.rstrip('/')}/palimpsest/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/palimpsest/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

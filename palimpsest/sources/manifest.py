@@ -141,7 +141,7 @@ class Period:
 
 
 def read_period(spark: SparkSession, path: str) -> Period:
-    raw = json.loads("\n".join(r.value for r in spark.read.text(path).limit(10_000).collect()))
+    raw = json.loads(spark.read.text(path, wholetext=True).first().value)
     e = raw["evidence"]
     p = Period(raw["start"], raw["end"], int(e["post_id"]), e["posted_at"], e["capture_timestamp"], e["original_url"], e["digest"])
     stamp = r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d"

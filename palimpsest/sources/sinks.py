@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.session import materialize
+
 
 def write_jsonl(df: DataFrame, path: str, order: list[str] | None = None) -> None:
     """Compact JSON Lines, characters as they are; ``order`` sorts across files."""
@@ -16,20 +18,31 @@ def write_jsonl(df: DataFrame, path: str, order: list[str] | None = None) -> Non
 
 
 def route_results(df: DataFrame, rows_path: str, failures_path: str) -> None:
-    """Two outputs of one frame (``row``, ``failure``): successes and failures, appended."""
+    """Two outputs of one frame (``row``, ``failure``): successes and failures, appended.
+
+    The frame is written once first, so that what it fetches is fetched once.
+    """
+    df = materialize(df)
     df.where("row IS NOT NULL").select("row.*").write.mode("append").json(rows_path)
     df.where("failure IS NOT NULL").select("failure.*").write.mode("append").json(failures_path)
 
 
 def publish(df: DataFrame, base: str) -> str:
-    """Write a new version beside the old ones, then name it in ``base/CURRENT``.
+    """Write a new version beside the old ones, then name it in the file ``base/CURRENT``.
 
-    Readers that follow the pointer never see half a version.
+    The pointer is written aside and renamed over the old one, so readers never see half a version.
     """
     version = uuid.uuid4().hex
     df.write.parquet(f"{base}/versions/{version}")
     spark = df.sparkSession
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/CURRENT")
+    fs = spark._jvm.org.apache.hadoop.fs
+    temporary, pointer = fs.Path(f"{base}/CURRENT.{version}"), fs.Path(f"{base}/CURRENT")
+    out = temporary.getFileSystem(spark._jsc.hadoopConfiguration()).create(temporary)
+    out.write(f"{version}\n".encode())
+    out.close()
+    overwrite = spark._sc._gateway.new_array(fs.Options.Rename, 1)
+    overwrite[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration()).rename(temporary, pointer, overwrite)
     return version
 
 
