@@ -8,11 +8,11 @@ m-grams of all texts are fingerprints (k = m, w = 1).
 
 Fingerprints of texts and items are joined on their hash.  A join match is extended: windows of
 the item around the fingerprint are compared, word by word, with the text around it, and only
-equal windows count.  The words around a fingerprint travel with it, so no text is read twice
-or shuffled.  Before a fingerprint becomes a row, it is tested against a bit table of the
-items' fingerprints (``2**bits`` bits, a literal; only where these are few enough, else all
-fingerprints are joined); false positives fall in the join.  The item side is broadcast up to
-``BROADCAST_ROWS`` rows and shuffled beyond.  Only DataFrame expressions run on executors.
+equal windows count.  The few words around a fingerprint that a window over it can reach travel
+with it, so no text or item is read twice or shuffled.  Before a fingerprint becomes a row, it is
+tested against a bit table of the items' fingerprints (a literal); false positives fall in the
+join.  The item side is broadcast up to ``BROADCAST_BYTES`` and shuffled beyond.  Only DataFrame
+expressions run on executors.
 
 Defined results: null text, or text without words, has no words and no hits; items without
 words have no windows; repeated rows (equal id and text) agree; repeated items count once by
@@ -31,8 +31,8 @@ from palimpsest.llm.spans import let, of_document, same_document
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, K = 10, 5
 W = WINDOW - K + 1
-BROADCAST_ROWS = 200_000
-TABLE_LIMIT = 40_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+TABLE_BITS = 24
 
 
 def words_of(text: Column) -> Column:
@@ -75,41 +75,51 @@ def fingerprints(g: Column, w: int, test=None) -> Column:
     return let(minima(g, w), positions)
 
 
-def bit_table(hashes: list[int]):
-    """A test against a literal bit table with 32 bits a hash."""
-    bits = max(10, (32 * max(1, len(hashes)) - 1).bit_length())
-    table = [0] * (1 << (bits - 6))
-    for h in hashes:
-        at = h & ((1 << bits) - 1)
-        table[at >> 6] |= 1 << (at & 63)
+def bit_table(found: DataFrame):
+    """A test against a bit table of the fingerprints in ``found``, with about 32 bits for each.
+
+    The table is summed up in words of 64 bits, at most ``2**TABLE_BITS`` bits; beyond that only
+    more false positives pass.
+    """
+    bits = max(10, min(TABLE_BITS, (32 * max(1, found.count()) - 1).bit_length()))
+    at = F.col("fp").bitwiseAND((1 << bits) - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(63).cast("int"))
+    words = found.groupBy(F.shiftright(at, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("value")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[words["word"].to_numpy()] = words["value"].to_numpy()
     # numpy arrays become single literals, where lists would become one expression a value
     powers = F.lit(np.left_shift(np.int64(1), np.arange(64)))
-    literal = F.lit(np.array(table, np.uint64).view(np.int64))
+    literal = F.lit(table)
 
     def test(h: Column) -> Column:
-        at = h.bitwiseAND((1 << bits) - 1)
-        return F.get(literal, F.shiftright(at, 6).cast("int")).bitwiseAND(F.get(powers, at.bitwiseAND(63).cast("int"))) != 0
+        place = h.bitwiseAND((1 << bits) - 1)
+        return F.get(literal, F.shiftright(place, 6).cast("int")).bitwiseAND(F.get(powers, place.bitwiseAND(63).cast("int"))) != 0
 
     return test
 
 
 def item_fingerprints(items: DataFrame, k: int, w: int, short: bool) -> DataFrame:
-    """fp, item, at (position in the item), words of the item; ``short`` items have exactly k words."""
+    """fp, item, lead, around: the item's words from ``lead`` before the fingerprint to the last that
+    a window over it can reach; ``short`` items have exactly k words."""
+    length, reach = k if short else WINDOW, w - 1
     own = items.where((F.size("words") == k) if short else (F.size("words") >= WINDOW))
-    marks = let(grams(F.col("words"), k), lambda g: F.transform(fingerprints(g, w), lambda i: F.struct(F.get(g, i).alias("fp"), i.alias("at"))))
-    own = own.select("item", "words", F.explode_outer(marks).alias("x")).where("x IS NOT NULL")
-    return own.select("x.fp", "item", "words", "x.at")
+    lead = lambda i: F.least(i, F.lit(reach))
+
+    def marks(words: Column, g: Column) -> Column:
+        return F.transform(fingerprints(g, w), lambda i: F.struct(F.get(g, i).alias("fp"), lead(i).alias("lead"), F.slice(words, i - lead(i) + 1, lead(i) + length).alias("around")))
+
+    found = let(F.col("words"), lambda words: let(grams(words, k), lambda g: marks(words, g)))
+    return own.select("item", F.explode_outer(found).alias("x")).where("x IS NOT NULL").select("x.fp", "item", "x.lead", "x.around")
 
 
 def hits_of(docs: DataFrame, items: DataFrame, k: int, w: int, short: bool) -> DataFrame:
     """doc_id, text_key, item, start, size: occurrences of item windows in ``docs`` (doc_id, text_key, text)."""
-    length = k if short else WINDOW
-    found = item_fingerprints(items, k, w, short)
-    hashes = [r.fp for r in found.select("fp").distinct().limit(TABLE_LIMIT + 1).collect()]
-    test = bit_table(hashes) if len(hashes) <= TABLE_LIMIT else None
-    if found.count() <= BROADCAST_ROWS:
+    length, reach = k if short else WINDOW, w - 1
+    found = materialize(item_fingerprints(items, k, w, short))
+    test = bit_table(found)
+    held = found.agg(F.sum(F.octet_length(F.concat_ws(" ", "around")) + 40).alias("bytes")).first().bytes or 0
+    if held <= BROADCAST_BYTES:
         found = F.broadcast(found)
-    reach = w - 1
 
     def marked(words: Column, g: Column) -> Column:
         near = lambda i: F.slice(words, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + length)
@@ -119,16 +129,17 @@ def hits_of(docs: DataFrame, items: DataFrame, k: int, w: int, short: bool) -> D
     # the outer form keeps the optimiser from testing, and so computing, the array twice
     marks = docs.select("doc_id", "text_key", F.explode_outer(marks).alias("x")).where("x IS NOT NULL").select("doc_id", "text_key", "x.fp", "x.pos", "x.near").alias("d")
     met = marks.join(found.alias("i"), "fp")
-    # window starts in the item, from ``reach`` before the fingerprint up to it
-    starts = F.sequence(F.greatest(F.col("at") - reach, F.lit(0)), F.col("at"))
+    # window starts in the item's words, up to the fingerprint
+    starts = F.sequence(F.lit(0), F.col("lead"))
     left = F.least(F.col("pos"), F.lit(reach))
 
     def equal(s: Column) -> Column:
-        begin = left - (F.col("at") - s)
-        return (begin >= 0) & (s + length <= F.size("i.words")) & (F.slice("near", F.greatest(begin, F.lit(0)) + 1, length) == F.slice("i.words", s + 1, length))
+        begin = left - (F.col("lead") - s)
+        own = F.slice("around", s + 1, length)
+        return (begin >= 0) & (F.size(own) == length) & (F.slice("near", F.greatest(begin, F.lit(0)) + 1, length) == own)
 
     met = met.withColumn("start", F.explode_outer(F.filter(starts, equal))).where("start IS NOT NULL")
-    return met.select("doc_id", "text_key", "item", (F.col("pos") - F.col("at") + F.col("start")).alias("start"), F.lit(length).alias("size"))
+    return met.select("doc_id", "text_key", "item", (F.col("pos") - F.col("lead") + F.col("start")).alias("start"), F.lit(length).alias("size"))
 
 
 def hits_by_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

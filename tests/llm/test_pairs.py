@@ -165,9 +165,9 @@ def contaminated_rows():
 def test_hits_equal_brute_force(spark, monkeypatch):
     rows, items = contaminated_rows()
     docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), spark.createDataFrame(items, "item_id bigint, text string")
-    for limit in (decontamination.TABLE_LIMIT, 0):  # with the bit table, and without it and without broadcast
-        monkeypatch.setattr(decontamination, "TABLE_LIMIT", limit)
-        monkeypatch.setattr(decontamination, "BROADCAST_ROWS", limit)
+    for bits, limit in ((decontamination.TABLE_BITS, decontamination.BROADCAST_BYTES), (1, -1)):  # a full bit table passes all; without broadcast
+        monkeypatch.setattr(decontamination, "TABLE_BITS", bits)
+        monkeypatch.setattr(decontamination, "BROADCAST_BYTES", limit)
         got = decontamination.decontaminate(docs, bench).collect()
         assert sorted(((r.doc_id, r.n_words, tuple(sorted(r.hit)), tuple(r.items)) for r in got), key=repr) == brute_hits(rows, items)
 
