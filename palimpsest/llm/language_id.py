@@ -8,7 +8,8 @@ Adam on windows of a bounded, documented sample: at most ``per_language`` texts
 language, taken by a hash of the id.
 
 Defined results: null text and text without a letter give ``und`` with score 1; repeated rows
-agree; null languages are never learned; with no learnable row every text is ``und``.
+agree; of equally likely languages the first by name is told; null languages are never learned;
+with no learnable row every text is ``und``; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import crc_mod, read, spread
+from palimpsest.llm.common import bounded_batches, crc_mod, read, release_memory, window_of
 
 SPAN, HIDDEN, EMBED = 128, 8, 6
 LANES = 2048
@@ -203,20 +204,23 @@ def classify(model: Model, texts: list[bytes]) -> np.ndarray:
     return out / np.maximum(sizes, 1)[:, None]
 
 
-def fit(docs: DataFrame, learnable: Column, per_language: int = 300, train_chars: int = 2_000, id_col: str = "doc_id") -> Model:
-    """Train on at most ``per_language`` texts of each language and ``train_chars`` characters of each."""
+def fit(docs: DataFrame, learnable: Column, per_language: int = 300, train_chars: int = 2_000, max_languages: int = 200, id_col: str = "doc_id") -> Model:
+    """Train on at most ``per_language`` texts of each of the ``max_languages`` most frequent languages.
+
+    Of a longer text a window of ``train_chars`` characters at a drawn offset is learned.  Rows are
+    drawn by a hash of id and text, one for each draw, so repeated rows are one and the driver gets
+    a bounded sample.
+    """
     own = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("id", F.col(id_col)).where(learnable)
-    counts = {r.lang: r.n for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if len(counts) > 500:
-        raise ValueError(f"{len(counts)} languages: lang isn't a language column")
-    draw = F.pmod(spread(F.col("id"), 3), F.lit(1 << 20))
-    wanted = F.lit(False)
-    for g, n in sorted(counts.items()):
-        wanted |= (F.col("lang") == g) & (draw < min(1 << 20, (1 << 20) * 2 * per_language // n + 1))
-    rows = own.where(wanted).select("lang", draw.alias("draw"), "id", F.substring("text", 1, train_chars).alias("text")).collect()
+    own = own.select("lang", "text", F.pmod(F.xxhash64(F.col("id").cast("string"), "text", F.lit(3)), F.lit(1 << 30)).alias("draw"))
+    often = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    # as many rows as the limit says: about twice as many draws as are wanted stay of each language
+    wanted = often.select("lang", (F.lit(float(1 << 30)) * 2 * per_language / F.col("n")).alias("below"))
+    drawn = own.join(F.broadcast(wanted), "lang").where(F.col("draw") < F.col("below"))
+    rows = drawn.groupBy("lang", "draw").agg(F.min(window_of(F.col("text"), train_chars, 3)).alias("text")).collect()
     taken: dict[str, int] = {}
     texts, labels = [], []
-    for r in sorted(rows, key=lambda r: (r.draw, str(r.id), r.text)):
+    for r in sorted(rows, key=lambda r: (r.draw, r.lang)):
         if taken.setdefault(r.lang, 0) < per_language:
             taken[r.lang] += 1
             texts.append(r.text.encode())
@@ -226,6 +230,7 @@ def fit(docs: DataFrame, learnable: Column, per_language: int = 300, train_chars
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
     """id, lang_pred and score (the pooled probability of that language) for every document."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,6 +250,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame
                 names[part] = np.array(own.languages, object)[best]
                 scores[part] = np.clip(p[np.arange(len(part)), best], 0, 1)
             yield pd.DataFrame({id_col: pdf["id"].array, "lang_pred": names, "score": scores})
+        release_memory()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col("text").alias("text")).mapInPandas(run, f"{id_col} {kind}, lang_pred string, score double")
