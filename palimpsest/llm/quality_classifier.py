@@ -6,11 +6,13 @@ document is the mean and mean square of its tokens' vectors, over the whole text
 layer of rectified units and a logistic output are trained with Adam in numpy; a temperature,
 chosen on a calibration fifth, scales the logit.
 
-The fit uses at most ``train_docs`` labelled documents, taken in the order of a hash of the id;
-``length(text)`` of each is at most ``train_chars``.  Scoring covers every document.
+The fit uses at most ``train_docs`` labelled documents, taken in the order of a hash of the id, of
+longer texts a window of ``train_chars`` characters at a drawn offset.  Scoring covers every
+document, whole.
 
 Defined results: null or empty text has a zero vector and gets the network's score for it;
-repeated rows score alike; labels without a quality are ignored; extra columns are ignored;
+repeated rows score alike; of one id's several texts that of the least hash is learned; equal
+scores are no ties, since each row stands alone; labels without a quality are ignored; extra columns are ignored;
 with labels of one kind only the score is that constant, without any labels 0.5.
 """
 
@@ -27,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import crc_mod, read, spread
+from palimpsest.llm.common import bounded_batches, crc_mod, read, release_memory, spread, window_of
 
 TOKENS = re.compile(r"\w+|[^\w\s]+")
 VOCABULARY, DIM, NONZERO, WINDOW = 20_000, 32, 6, 2
@@ -141,13 +143,18 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, train_docs: int =
     """Train on the bounded sample; ``learnable`` is a condition on ``id`` that admits a label."""
     sample = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("quality")).where(learnable & F.col("id").isNotNull() & F.col("quality").isNotNull())
     sample = sample.orderBy(spread(F.col("id"), 6), "id", "quality").limit(train_docs)
-    own = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= train_chars)
-    rows = sorted(own.join(sample, "id").select("id", "text", "quality").limit(2 * train_docs).collect())
+    sample = sample.groupBy("id", "quality").agg(F.count("*").alias("times")).drop("times")
+    text = F.coalesce("text", F.lit(""))
+    own = docs.select(F.col("doc_id").alias("id"), F.struct(F.xxhash64(text).alias("draw"), window_of(text, train_chars, 6).alias("text")).alias("t"))
+    # one text of each id and label, so at most as many rows as the limit says
+    found = own.join(F.broadcast(sample), "id").groupBy("id", "quality").agg(F.min("t").alias("t"))
+    rows = sorted(found.select("id", "t.text", "quality").collect())
     return train([r.text for r in rows], np.array([r.quality for r in rows], int))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id") -> DataFrame:
     """id, score and predicted for every document."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,6 +162,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
         for pdf in batches:
             s = own.scores(np.array([own.pooled(t or "") for t in pdf["text"]]).reshape(len(pdf), 2 * DIM))
             yield pd.DataFrame({id_col: pdf["id"].array, "score": s, "predicted": (s >= threshold).astype(np.int32)})
+        release_memory()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col("text").alias("text")).mapInPandas(run, f"{id_col} {kind}, score double, predicted int")
