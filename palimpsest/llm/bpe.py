@@ -24,13 +24,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import read, release_memory
+from palimpsest.llm.common import bounded_batches, read, release_memory
 
 #: White space as the Unicode property has it, as the body of a character class.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A pre-token never crosses from one of these chunks into the next.
 CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 60_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -199,6 +199,7 @@ def in_slices(texts: list[str], chars: int = 1 << 22) -> Iterator[list[str]]:
 
 def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Encode and decode every text: id, n_tokens, both digests and, with ``keep_ids``, ids and decoded text."""
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * keep_ids
 

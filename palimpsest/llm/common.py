@@ -9,17 +9,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.session import shared_folder
+
+
+def bounded_batches(spark: SparkSession, records: int = 2_000, size: str = "16m") -> None:
+    """Arrow batches of at most this many records and bytes, where the session has Spark's defaults.
+
+    A task holds a batch on either side of the pipe to its worker; texts make full batches large.
+    """
+    for key, usual, own in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", str(records)), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", size)):
+        if spark.conf.get(key, None) == usual:
+            spark.conf.set(key, own)
+
 
 def workdir(spark: SparkSession) -> str:
     """A fresh folder in the shared checkpoint directory.
 
-    The cluster names that directory in ``spark.checkpoint.dir``; only where it is unset
-    (local tests) is one under /tmp chosen.
+    The cluster names that directory in ``spark.checkpoint.dir``; only where it is unset, and in
+    local mode only, is one under /tmp chosen.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file:///tmp/palimpsest-checkpoints"
-    return f"{base.rstrip('/')}/palimpsest/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/palimpsest/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:

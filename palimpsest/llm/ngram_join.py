@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import materialize, read, release_memory
+from palimpsest.llm.common import bounded_batches, materialize, read, release_memory
 from palimpsest.llm.spans import of_document, same_document
 
 SHINGLE, PERCENT = 5, 80
@@ -467,6 +467,7 @@ def link_classes(shared: DataFrame, texts: DataFrame) -> DataFrame | None:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, group (of the component, null for empty sets) for every row of ``docs``."""
     docs = docs.select("doc_id", "text")
+    bounded_batches(docs.sparkSession)
     bits = bucket_bits(docs)
     both = materialize(profile(docs, bits))
     rows = both.where("node IS NOT NULL").drop("token", "df")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import read, release_memory, spread, window_of
+from palimpsest.llm.common import bounded_batches, read, release_memory, spread, window_of
 
 #: White space that parts words: space and the characters 9 to 13, nothing else.
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -240,6 +240,7 @@ def content_share(text: str, model: tuple[np.ndarray, np.ndarray]) -> float:
 
 def judge(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: float = 0.5, id_col: str = "doc_id") -> DataFrame:
     """Base counts, the share of content and the verdict for every document."""
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept"]
     schema = f"`{id_col}` {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
@@ -260,6 +261,7 @@ def judge(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: fl
 
 def keep_good(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_content: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that ``judge`` keeps."""
+    bounded_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
