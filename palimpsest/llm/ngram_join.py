@@ -48,13 +48,13 @@ from palimpsest.llm.spans import of_document, same_document
 
 SHINGLE, PERCENT = 5, 80
 #: Shingles that a task holds at once; those of one bucket; bytes of text for each, about.
-BLOCK_TOKENS, BUCKET_TOKENS, TEXT_BYTES = 2_000_000, 1_000_000, 6
+BLOCK_TOKENS, BUCKET_TOKENS, TEXT_BYTES = 1_000_000, 1_000_000, 6
 LEAST_DF, FREQUENT = 4, 2_000_000
 #: Greatest l; elements of unknown frequency that a set shares with unrelated sets; what one more match leaves of those.
 LEVELS, PRIOR, DECAY = 16, 0.01, 0.5
 #: Nodes that share an element and are worth a round; most hubs a node; the last round links less than one in ``WORTH`` pairs.
 CROWD, LOOKS, WORTH = 32, 8, 20
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_IDS = 200_000, 1_000_000
 #: A prefix element on its way to its bucket: half of the node's digest stands for the node.
 ELEMENT = np.dtype([("token", "<u8"), ("short", "<i8"), ("n", "<i4"), ("pos", "<i4"), ("ell", "<i1")])
 #: Words are hashed as polynomials of their bytes modulo 2**64, in pieces of about this many bytes.
@@ -235,7 +235,7 @@ def elements(tokens: np.ndarray, df: np.ndarray, short: int) -> tuple[np.ndarray
 
 
 SENT = "bucket int, blob binary, token long, short long, n int, pos int, ell int"
-HELD = "token long, short long, n int, pos int, ell int"
+HELD = "token long, short long, n int, pos int, ell int, known boolean"
 
 
 def send(found: Iterator[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[pd.DataFrame]:
@@ -268,7 +268,7 @@ def send(found: Iterator[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[
 def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Distinct elements of a group; of unknown frequency only those that two or more nodes have."""
     if key[0] < 0:
-        return pdf[["token", "short", "n", "pos", "ell"]].drop_duplicates(["token", "short"])
+        return pdf[["token", "short", "n", "pos", "ell"]].drop_duplicates(["token", "short"]).assign(known=True)
     own = np.concatenate([np.frombuffer(b, ELEMENT) for b in pdf["blob"]])
     own = own[np.lexsort((own["short"], own["token"]))]
     token = own["token"]
@@ -276,11 +276,11 @@ def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     own = own[~again]
     same = own["token"][1:] == own["token"][:-1]
     own = own[np.r_[False, same] | np.r_[same, False]]
-    return pd.DataFrame({c: own[c] for c in ("short", "n", "pos")} | {"token": own["token"].view("<i8"), "ell": own["ell"].astype(int)})[["token", "short", "n", "pos", "ell"]]
+    return pd.DataFrame({c: own[c] for c in ("short", "n", "pos")} | {"token": own["token"].view("<i8"), "ell": own["ell"].astype(int), "known": False})[["token", "short", "n", "pos", "ell", "known"]]
 
 
 def prefixes(docs: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
-    """(token, short, n, pos, ell): prefix elements of every distinct set that other sets may have."""
+    """(token, short, n, pos, ell, known): prefix elements of every distinct set that other sets may have."""
     if frequent.count() > FREQUENT:
         sent = _ranked_by_shuffle(docs, frequent, bits)
     else:
@@ -358,26 +358,17 @@ def _may_link(x: str, y: str) -> Column:
 
 
 def texts_of(ids: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(id, text) of these nodes, written once."""
-    wanted = materialize(reps.join(ids, "id").select("id", "doc_id", "text_key"))
+    """(id, text) of these nodes, each once, written."""
+    wanted = materialize(reps.join(ids.distinct(), "id").select("id", "doc_id", "text_key"))
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     found = docs.alias("l").join(wanted.alias("r"), of_document()).select("id", "text")
-
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            own = batch["id"].to_pylist()
-            fresh = [i not in seen and not seen.add(i) for i in own]
-            yield batch.filter(pa.array(fresh, pa.bool_()))
-        release_memory()
-
-    return materialize(found.mapInArrow(once, "id long, text string"))
+    return materialize(found.groupBy("id").agg(F.min("text").alias("text")))
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets link; the texts of a move to those of b, which hubs share."""
-    pairs = materialize(pairs.select("a", "b"))
+    pairs = pairs.select("a", "b")
     hubs = pairs.select("b").distinct()
     if pairs.count() <= BROADCAST_ROWS:
         pairs, hubs = F.broadcast(pairs), F.broadcast(hubs)
@@ -429,38 +420,54 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialize(old.select("id", F.coalesce("next", "comp").alias("comp")).unionByName(new))
 
 
-def link_classes(shared: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """(id, comp) of all nodes that are linked, from prefix elements (token, id, n, pos, ell); None without links."""
-    labels, active, looks = None, shared.withColumn("comp", F.col("id")), 1
+def _relabelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of each id as ``comp``."""
+    if labels is None:
+        return rows.withColumn("comp", F.col("id"))
+    small = labels.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(labels) if small else labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def crowd_classes(shared: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame | None:
+    """(id, comp) of nodes that rounds link, among those that share elements with ``CROWD`` or more."""
+    often = shared.where("known").groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") >= CROWD).select("token")
+    crowd = materialize(shared.where("known").join(often, "token", "left_semi"))
+    if crowd.isEmpty():
+        return None
+    texts = texts_of(crowd.select("id"), docs, reps)
+    labels, looks = None, 1
     while True:
+        rows = _relabelled(crowd, labels)
         each = F.struct("id", "n", "pos", "ell", "comp")
         # the first hub of an element is the node with the fewest rarer elements, others are drawn
         draws = [F.min(F.struct(F.col("pos").cast("long").alias("draw") if i == 0 and looks == 1 else F.xxhash64("id", F.lit(looks + i)).alias("draw"), each.alias("hub"))).alias(f"d{i}") for i in range(looks)]
-        hubs = active.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("held"), *draws).where("c1 < c2")
-        hubs = materialize(hubs.select("token", "held", F.array_distinct(F.array(*[F.col(f"d{i}.hub") for i in range(looks)])).alias("hubs")))
-        active = materialize(active.join(hubs.select("token"), "token", "left_semi"))
-        crowded = hubs.where(F.col("held") >= CROWD)
-        if crowded.isEmpty():
-            break
-        met = active.alias("x").join(crowded.select("token", F.explode("hubs").alias("hub")).select("token", "hub.*").alias("h"), "token")
-        met = met.where((F.col("x.comp") != F.col("h.comp")) & _may_link("x", "h")).groupBy(F.col("x.id").alias("a"), F.col("h.id").alias("b")).agg(F.count("*").alias("met"))
+        hubs = rows.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), *draws).where("c1 < c2")
+        hubs = materialize(hubs.select("token", F.explode(F.array_distinct(F.array(*[F.col(f"d{i}.hub") for i in range(looks)]))).alias("hub")).select("token", "hub.*"))
+        met = rows.alias("x").join(hubs.alias("h"), "token").where((F.col("x.comp") != F.col("h.comp")) & _may_link("x", "h"))
+        met = met.groupBy(F.col("x.id").alias("a"), F.col("h.id").alias("b")).agg(F.count("*").alias("met"))
         # as many pairs of each node as there are looks; a node meets at most its elements' hubs
         best = F.slice(F.sort_array(F.collect_list(F.struct("met", "b")), asc=False), 1, looks)
         pairs = materialize(met.groupBy("a").agg(best.alias("best")).select("a", F.explode("best.b").alias("b")))
         found = verify(pairs, texts)
-        n = found.count()
+        n, tried = found.count(), pairs.count()
         if n:
             labels = _joined(labels, found)
-            active = materialize(active.drop("comp").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
-        if looks >= LOOKS and n * WORTH <= pairs.count():
-            break
+        if not tried or (looks >= LOOKS and n * WORTH <= tried):
+            return labels
         looks = min(2 * looks, LOOKS)
 
-    met = active.alias("x").join(active.alias("y"), "token").where((F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
+
+def link_classes(shared: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame | None:
+    """(id, comp) of all nodes that are linked, from prefix elements (token, id, n, pos, ell, known); None without links."""
+    labels = crowd_classes(shared, docs, reps)
+    rows = _relabelled(shared, labels)
+    met = rows.alias("x").join(rows.alias("y"), "token").where((F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y"))
     rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     met = met.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), F.max(F.least("x.ell", "y.ell")).alias("need"), F.min(rest).alias("rest"), F.max(_least_overlap(F.col("x.n"), F.col("y.n"))).alias("least"))
-    listed = met.where((F.col("met") >= F.least("need", "least")) & (F.col("met") + F.col("rest") >= F.col("least")))
-    found = verify(listed, texts)
+    listed = materialize(met.where((F.col("met") >= F.least("need", "least")) & (F.col("met") + F.col("rest") >= F.col("least"))).select("a", "b"))
+    if listed.isEmpty():
+        return labels
+    found = verify(listed, texts_of(listed.select(F.col("a").alias("id")).union(listed.select("b")), docs, reps))
     return labels if found.isEmpty() else _joined(labels, found)
 
 
@@ -475,12 +482,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = materialize(reps.select(F.monotonically_increasing_id().alias("id"), "node", "short", "least_id", "one.*"))
     held = materialize(prefixes(docs, both.where("node IS NULL").select("token", "df"), bits))
     # digests that agree in half are two nodes with the rows of both: candidates more, no link less
-    shared = materialize(held.join(reps.select("id", "short"), "short").drop("short"))
-    several = shared.groupBy("token").agg(F.min("id").alias("i"), F.max("id").alias("j")).where("i < j").select("token")
-    shared = materialize(shared.join(several, "token", "left_semi"))
-    labels = None
-    if not shared.isEmpty():
-        labels = link_classes(shared, texts_of(shared.select("id").distinct(), docs, reps))
+    ids = reps.select("id", "short")
+    shared = materialize(held.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "short").drop("short"))
+    labels = link_classes(shared, docs, reps)
     classes = reps.select("id", "node", "least_id", F.col("id").alias("comp")) if labels is None else reps.select("id", "node", "least_id").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     named = classes.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     classes = materialize(classes.join(named, "comp").select("node", "component_id", F.col("comp").alias("group")))
