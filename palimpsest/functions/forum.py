@@ -79,6 +79,7 @@ class Post:
     topic_title: str | None = None
     forum_name: str | None = None
     date_from_text: bool = False
+    box: Node | None = None  # the element that holds all of the post
 
 
 @dataclass
@@ -153,7 +154,7 @@ def snitz(root: Node, url: str) -> Page:
             near = [c for c in rules[0].parent.children if isinstance(c, Node)]
             at = next(i for i, c in enumerate(near) if c is rules[0])
             body = near[at + 1] if at + 1 < len(near) else body
-        page.posts.append(Post(body, first_text(who) or first_text(tds[0].find("b")), number(USER, who[0].attrs["href"]) if who else None, int(ids[0]) if ids else None, date[1].replace(" : ", " ").replace(": ", " ")))
+        page.posts.append(Post(body, first_text(who) or first_text(tds[0].find("b")), number(USER, who[0].attrs["href"]) if who else None, int(ids[0]) if ids else None, date[1].replace(" : ", " ").replace(": ", " "), box=row))
     return page
 
 
@@ -184,7 +185,7 @@ def phpbb2(root: Node, url: str) -> Page:
         if body := tds[1].find("span", "largetext"):
             who = links(table, "profile.php?mode=viewprofile")
             date = WEEKDAY_DATE.search(tidy(table.text()))
-            page.posts.append(Post(body[0], first_text(tds[0].find("b")), number(USER, who[0].attrs["href"]) if who else None, int(a.attrs["name"]), date[0] if date else None))
+            page.posts.append(Post(body[0], first_text(tds[0].find("b")), number(USER, who[0].attrs["href"]) if who else None, int(a.attrs["name"]), date[0] if date else None, box=table))
     return page
 
 
@@ -195,7 +196,7 @@ def phpbb3(root: Node, url: str) -> Page:
         page = Page(real_topic(root, url), number(FORUM_ID, url), first_text(heads))
         for p in printed:
             strong = lambda cls, p=p: first_text([s for d in p.find("div", cls) for s in d.find("strong")])
-            page.posts.append(Post(p.find("div", "content")[0], strong("author"), raw_date=strong("date")))
+            page.posts.append(Post(p.find("div", "content")[0], strong("author"), raw_date=strong("date"), box=p))
         return page
 
     def title() -> str | None:
@@ -211,7 +212,7 @@ def phpbb3(root: Node, url: str) -> Page:
             continue
         who = links(table, "memberlist.php?mode=viewprofile")
         date = LABELLED_DATE.search(tidy(row.text()))
-        page.posts.append(Post(body[0], first_text(row.find(None, "postauthor")), number(USER, who[0].attrs["href"]) if who else None, int(name[1:]), date[1].strip() if date else None))
+        page.posts.append(Post(body[0], first_text(row.find(None, "postauthor")), number(USER, who[0].attrs["href"]) if who else None, int(name[1:]), date[1].strip() if date else None, box=table))
     return page
 
 
@@ -225,7 +226,7 @@ def portal(root: Node) -> list[Post]:
             continue
         post_id = number(POST, titles[0].attrs["href"])
         reply, forum, who = links(table, "posting.php"), links(table, "viewforum.php?f="), links(table, "memberlist.php?mode=viewprofile")
-        post = Post(bodies[0], first_text(who), number(USER, who[0].attrs["href"]) if who else None, post_id, tidy(table.text()), number(TOPIC, reply[0].attrs["href"]) if reply else None, number(FORUM_ID, forum[0].attrs["href"]) if forum else None, tidy(titles[0].text()), tidy(forum[0].text()) if forum else None, True)
+        post = Post(bodies[0], first_text(who), number(USER, who[0].attrs["href"]) if who else None, post_id, tidy(table.text()), number(TOPIC, reply[0].attrs["href"]) if reply else None, number(FORUM_ID, forum[0].attrs["href"]) if forum else None, tidy(titles[0].text()), tidy(forum[0].text()) if forum else None, True, box=table)
         out.setdefault(post_id if post_id is not None else id(table), post)
     return list(out.values())
 
@@ -248,13 +249,23 @@ def community(root: Node, url: str) -> Page:
         near = anchor.up("td")
         head = near or next(iter(box.find("h4", "ForumPostHeader")), None)
         date = DASH_DATE.search(tidy(head.text())) if head is not None else None
-        page.posts.append(Post(body[0], first_text(who), number(USER, ids[0]) if ids else None, int(anchor.attrs["name"]), date[1] if date else None, topic_title=page.topic_title, forum_name=page.forum_name))
+        page.posts.append(Post(body[0], first_text(who), number(USER, ids[0]) if ids else None, int(anchor.attrs["name"]), date[1] if date else None, topic_title=page.topic_title, forum_name=page.forum_name, box=box))
     return page
 
 
 RULES: dict[str, Callable[[Node, str], Page]] = {"snitz": snitz, "phpbb2": phpbb2, "phpbb3": phpbb3, "community-server": community}
 
 
+def remove_posts(root: Node, url: str, era: str | None, positions: frozenset[int]) -> None:
+    """Take the posts at these positions, as ``read_page`` numbers them, out of the tree."""
+    if not positions or era not in RULES:
+        return
+    prune(root)
+    for i, post in enumerate(RULES[era](root, url).posts):
+        if i in positions and post.box is not None and post.box.parent is not None:
+            post.box.parent.children = [c for c in post.box.parent.children if c is not post.box]
+
+
 def read_page(raw: bytes | None, url: str | None, era: str | None, profile: SiteProfile = FORUM) -> dict:
     """The record of one captured page; an empty page is an empty record, an unknown era only has references."""
     text, encoding = decode(raw or b"")

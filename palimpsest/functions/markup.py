@@ -126,7 +126,7 @@ _CSS = re.compile(
 def _css_url(m: re.Match) -> str | None:
     for name in ("import", "dq", "sq", "bare"):
         if m[name] is not None:
-            return re.sub(r"\\([0-9a-fA-F]{1,6})\s?|\\(.)", lambda e: chr(int(e[1], 16)) if e[1] and int(e[1], 16) < 0x110000 else e[2] or "", m[name])
+            return unescape_css(m[name])
     return None
 
 
@@ -150,13 +150,50 @@ def rewrite_css(css: str, target: Callable[[str], str | None]) -> str:
     return _CSS.sub(swap, css)
 
 
-_UNSAFE = re.compile(r"expression\s*\(|behaviou?r\s*:|-moz-binding|javascript:|image-set\(|src\(", re.I)
+#: What runs code in a style sheet, and what fetches.
+RUNS = re.compile(r"expression\s*\(|behavior\s*:|-moz-binding\s*:|javascript\s*:", re.I)
+ODD_FETCH = re.compile(r"image-set\s*\(|cross-fade\s*\(", re.I)
+ANY_FETCH = re.compile(r"url\s*\(|@import\b|image-set\s*\(|cross-fade\s*\(", re.I)
 
+_QUIET = re.compile(r"""/\*.*?(?:\*/|$) | "(?:[^"\\]|\\.)*(?:"|$) | '(?:[^'\\]|\\.)*(?:'|$)""", re.X | re.S)
+_ESCAPE = re.compile(r"\\(?:([0-9a-fA-F]{1,6})\s?|(.))", re.S)
 
-def safe_declarations(style: str) -> str:
-    """The declarations of a style attribute without those that run or fetch by odd means."""
-    plain = lambda d: re.sub(r"/\*.*?\*/|\\", "", d, flags=re.S)
-    return ";".join(d for d in style.split(";") if not _UNSAFE.search(plain(d)))
+
+def css_outline(css: str) -> str:
+    """The sheet with comments and strings blanked, every other character in its place."""
+    return _QUIET.sub(lambda m: " " * len(m[0]), css)
+
+
+def unescape_css(text: str) -> str:
+    return _ESCAPE.sub(lambda m: m[2] or "" if not m[1] else chr(int(m[1], 16)) if int(m[1], 16) < 0x110000 else "", text)
+
+
+def fetches_oddly(css: str) -> bool:
+    """Does the sheet fetch by functions that aren't rewritten, or by escaped names?"""
+    outline = css_outline(css)
+    plain = unescape_css(outline)
+    return bool(ODD_FETCH.search(outline)) or (plain != outline and bool(ANY_FETCH.search(plain)))
+
+
+def clean_css(css: str) -> str:
+    """The sheet (or style attribute) without declarations that run code; nothing of one that fetches oddly."""
+    if fetches_oddly(css):
+        return ""
+    outline = css_outline(css)
+    if not RUNS.search(unescape_css(outline)):
+        return css
+    kept, start, depth = [], 0, 0
+    for m in re.finditer(r"[(){};]|\Z", outline):
+        sign, end = m[0], m.start()
+        depth = max(0, depth + (sign == "(") - (sign == ")"))
+        if sign in "()" and sign or (depth and sign):
+            continue
+        runs = sign != "{" and RUNS.search(unescape_css(outline[start:end]))
+        kept.append("" if runs else css[start:end])
+        if not (runs and sign == ";"):
+            kept.append(sign)
+        start = end + len(sign)
+    return "".join(kept)
 
 
 def parse_srcset(value: str) -> list[tuple[str, str]]:

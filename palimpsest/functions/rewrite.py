@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.encoding import decode
-from palimpsest.functions.markup import DROPPED, Node, parse, parse_srcset, rewrite_css, safe_declarations, serialize_srcset
+from palimpsest.functions.forum import remove_posts
+from palimpsest.functions.markup import DROPPED, Node, clean_css, css_references, fetches_oddly, parse, parse_srcset, rewrite_css, serialize_srcset
 from palimpsest.functions.urls import REPLAY, canonical
 from palimpsest.profile import FORUM, SiteProfile
 
@@ -23,6 +24,8 @@ LOADS = {"audio": ("src",), "img": ("src", "srcset"), "input": ("src",), "source
 MISSING_IMAGE = "data:image/svg+xml,%3Csvg xmlns='http://www.w3.org/2000/svg' width='16' height='16'/%3E"
 MISSING_CLASS = "archive-link-missing"
 PERSONAL = ("usuarios", "membros", "memberlist", "members")
+SEARCH_PAGE, SEARCH_STYLE = "busca/index.html", "assets/archive-search.css"
+STYLE = "#archive-search{display:flex;gap:1em;padding:.5em;font:14px sans-serif}#archive-search form{display:flex;gap:.5em}.archive-link-missing{opacity:.6;text-decoration:line-through}"
 
 #: Maps an absolute address to a published path (with fragment), or to nothing.
 Lookup = Callable[[str], str | None]
@@ -62,7 +65,7 @@ def preserve_css(css: str, base: str, output: str, resource: Lookup) -> str:
         found = resource(url) if url else None
         return relative(output, found) if found else None
 
-    return rewrite_css(css, target)
+    return rewrite_css(clean_css(css), target)
 
 
 def preserve_svg(text: str) -> str:
@@ -78,10 +81,14 @@ def unsafe_svg(name: str, value: str) -> bool:
     return name.startswith("on") or name == "style" or (name == "href" and bool(low) and not low.startswith("#")) or "javascript:" in low or "url(" in low
 
 
-def preserve_page(raw: bytes, url: str, output: str, page: Lookup, resource: Lookup) -> str:
-    """The page with local links only; what has no capture is marked, what is active is gone."""
+def preserve_page(raw: bytes, url: str, output: str, page: Lookup, resource: Lookup, era: str | None = None, outside: frozenset[int] = frozenset(), search: bool = False) -> str:
+    """The page with local links only; what has no capture is marked, what is active is gone.
+
+    Posts at the positions ``outside`` are taken out; ``search`` adds the toolbar.
+    """
     text, _ = decode(raw)
     root = parse(text if text.strip() else "<html><head></head><body></body></html>")
+    remove_posts(root, url, era, outside)
     personal = any(p in PERSONAL for p in output.split("/"))
     printed = any(k.casefold() == "view" and v.casefold() == "print" for k, v in parse_qsl(urlsplit(url).query, keep_blank_values=True))
     for node in list(root.walk()):
@@ -106,7 +113,7 @@ def preserve_page(raw: bytes, url: str, output: str, page: Lookup, resource: Loo
         for attribute in loads:
             _localise(node, attribute, url, output, resource)
         if "style" in node.attrs:
-            style = preserve_css(safe_declarations(node.attrs["style"]), url, output, resource)
+            style = preserve_css(node.attrs["style"], url, output, resource)
             node.attrs |= {"style": style}
             if not style.strip():
                 del node.attrs["style"]
@@ -124,9 +131,33 @@ def preserve_page(raw: bytes, url: str, output: str, page: Lookup, resource: Loo
     if personal:
         front.append(Node("meta", {"name": "robots", "content": "noindex,follow"}, head))
     head.children[:0] = front
+    if search:
+        _add_search(head, body, output)
     return "<!doctype html>\n" + root.serialize()
 
 
+def _element(tag: str, parent: Node, children: tuple = (), **attrs: str) -> Node:
+    node = Node(tag, {k.rstrip("_").replace("_", "-"): v for k, v in attrs.items()}, parent)
+    node.children = list(children)
+    return node
+
+
+def _add_search(head: Node, body: Node | None, output: str) -> None:
+    """A link to the toolbar's style sheet, and in all pages but the search page the toolbar."""
+    head.children.append(_element("link", head, rel="stylesheet", href=relative(output, SEARCH_STYLE)))
+    if body is None or output == SEARCH_PAGE:
+        return
+    bar = _element("aside", body, id="archive-search", aria_label="Busca geral", data_search_ignore="all")
+    form = _element("form", bar, method="get", role="search", action=relative(output, SEARCH_PAGE))
+    form.children = [
+        _element("label", form, ("Busca geral",), for_="archive-search-input"),
+        _element("input", form, id="archive-search-input", name="q", type="search", autocomplete="off", required="required"),
+        _element("button", form, ("Buscar",), type="submit"),
+    ]
+    bar.children = [_element("a", bar, ("Arquivo",), href=relative(output, "index.html")), form]
+    body.children.insert(0, bar)
+
+
 def _dropped(node: Node, personal: bool) -> bool:
     if node.tag in DROPPED or (node.tag == "style" and node.up("svg") is not None):
         return True
@@ -160,45 +191,125 @@ def _localise(node: Node, attribute: str, url: str, output: str, resource: Looku
         mark_missing(node, attribute)
 
 
-def render(pages: DataFrame, profile: SiteProfile = FORUM) -> DataFrame:
-    """(route, html) from (route, original_url, content, links, resources).
+def render(pages: DataFrame, profile: SiteProfile = FORUM, search: bool = False) -> DataFrame:
+    """(route, html) from (route, original_url, content, era, links, resources, outside).
 
     ``links`` maps canonical addresses to routes, ``resources`` canonical addresses to targets;
     both hold one page's few entries, joined before.  A link keeps its own fragment.
+    ``outside`` holds the positions of posts that aren't published.
     """
 
     def run(batches):
         for pdf in batches:
             out = []
-            for route, url, raw, links, resources in zip(pdf["route"], pdf["original_url"], pdf["content"], pdf["links"], pdf["resources"], strict=True):
+            for route, url, raw, era, links, resources, outside in zip(pdf["route"], pdf["original_url"], pdf["content"], pdf["era"], pdf["links"], pdf["resources"], pdf["outside"], strict=True):
                 links, resources = dict(links or {}), dict(resources or {})
-                out.append((route, preserve_page(bytes(raw or b""), url, route, lambda u, m=links: m.get(canonical(u, profile)), lambda u, m=resources: m.get(canonical(u, profile)))))
+                out.append((route, preserve_page(bytes(raw or b""), url, route, lambda u, m=links: m.get(canonical(u, profile)), lambda u, m=resources: m.get(canonical(u, profile)), era, frozenset(() if outside is None else outside), search)))
             yield pd.DataFrame(out, columns=["route", "html"])
 
-    return pages.select("route", "original_url", "content", "links", "resources").mapInPandas(run, "route string, html string")
+    return pages.select("route", "original_url", "content", "era", "links", "resources", "outside").mapInPandas(run, "route string, html string")
+
 
+def publish_resources(resources: DataFrame, profile: SiteProfile = FORUM) -> DataFrame:
+    """(path, content) of resources: style sheets cleaned and rewritten, drawings made inert, others as they are.
+
+    From (target, original_url, mimetype, content, loads); ``loads`` maps canonical addresses to targets.
+    """
 
-def output_problems(rendered: DataFrame, targets: DataFrame) -> DataFrame:
-    """(route, reference, problem): links of rendered pages that leave the site or lead nowhere."""
+    def one(path: str, url: str, mimetype: str | None, raw: bytes, loads: dict[str, str]) -> bytes:
+        if mimetype == "text/css":
+            return preserve_css(decode(raw)[0], url, path, lambda u: loads.get(canonical(u, profile))).encode()
+        return preserve_svg(decode(raw)[0]).encode() if mimetype == "image/svg+xml" else raw
 
     def run(batches):
+        for pdf in batches:
+            rows = zip(pdf["target"], pdf["original_url"], pdf["mimetype"], pdf["content"], pdf["loads"], strict=True)
+            out = [(path, one(path, url, mimetype, bytes(raw or b""), dict(loads or {}))) for path, url, mimetype, raw, loads in rows]
+            yield pd.DataFrame(out, columns=["path", "content"])
+
+    return resources.select("target", "original_url", "mimetype", "content", "loads").mapInPandas(run, "path string, content binary")
+
+
+def _references(node: Node) -> list[str]:
+    values = [node.attrs[a] for a in ("href", "src", "background", "poster", "action") if node.attrs.get(a)]
+    return values + [u for u, _ in parse_srcset(node.attrs.get("srcset", ""))]
+
+
+def _page_findings(path: str, text: str) -> list[tuple]:
+    """(reference, problem, target, fragment) of a page; a problem is null where the target has to be looked up."""
+    out, sheets = [], []
+    for node in parse(text).walk():
+        out += [found for v in _references(node) if (found := _finding(path, v))]
+        if "style" in node.attrs:
+            sheets.append(node.attrs["style"])
+        if node.tag == "style":
+            sheets.append("".join(c for c in node.children if isinstance(c, str)))
+        if node.tag == "svg" or node.up("svg") is not None:
+            out += _svg_findings(node)
+    return out + [f for css in sheets for f in _sheet_findings(path, css)]
+
+
+def _finding(path: str, reference: str) -> tuple | None:
+    if not reference or reference.startswith("data:"):
+        return None
+    try:
+        parts = urlsplit(reference)
+    except ValueError:
+        return reference, "external", None, None
+    if parts.scheme or parts.netloc:
+        return reference, "external", None, None
+    target = posixpath.normpath(posixpath.join(posixpath.dirname(path), parts.path)) if parts.path else path
+    if target.startswith(("../", "/")) or target == "..":
+        return reference, "outside the site", None, None
+    return reference, None, target, parts.fragment or None
+
+
+def _sheet_findings(path: str, css: str) -> list[tuple]:
+    if fetches_oddly(css):
+        return [(css[:80], "unsafe style", None, None)]
+    return [found for u in css_references(css) if (found := _finding(path, u))]
+
+
+def _svg_findings(node: Node) -> list[tuple]:
+    active = [node.tag] if node.tag.rpartition(":")[2] in ACTIVE_SVG else []
+    return [(x, "active drawing", None, None) for x in active + [k for k, v in node.attrs.items() if unsafe_svg(k, v)]]
+
+
+def _names(text: str) -> list[str]:
+    return [v for n in parse(text).walk() for v in (n.attrs.get("id"), n.attrs.get("name") if n.tag == "a" else None) if v]
+
+
+def output_problems(rendered: DataFrame, targets: DataFrame, resources: DataFrame | None = None) -> DataFrame:
+    """(route, reference, problem) of a site: links that leave it or lead nowhere, anchors that aren't
+    there, style sheets that fetch oddly, drawings that are active.
+
+    ``rendered`` is (route, html), ``targets`` all published paths, ``resources`` (path, content) of sheets and drawings.
+    """
+    schema = "route string, reference string, problem string, target string, fragment string"
+
+    def pages(batches):
+        for pdf in batches:
+            yield pd.DataFrame([(r, *f) for r, t in zip(pdf["route"], pdf["html"], strict=True) for f in _page_findings(r, t)], columns=["route", "reference", "problem", "target", "fragment"])
+
+    def files(batches):
         for pdf in batches:
             out = []
-            for route, text in zip(pdf["route"], pdf["html"], strict=True):
-                for node in parse(text).walk():
-                    values = [node.attrs[a] for a in ("href", "src", "background", "poster", "action") if node.attrs.get(a)]
-                    values += [u for u, _ in parse_srcset(node.attrs.get("srcset", ""))]
-                    for v in values:
-                        parts = urlsplit(v)
-                        if v.startswith("data:") or (node.tag == "link" and v == "data:,"):
-                            continue
-                        if parts.scheme or parts.netloc:
-                            out.append((route, v, "external", None))
-                        elif parts.path:
-                            out.append((route, v, None, posixpath.normpath(posixpath.join(posixpath.dirname(route), parts.path))))
-            yield pd.DataFrame(out, columns=["route", "reference", "problem", "target"])
-
-    found = rendered.select("route", "html").mapInPandas(run, "route string, reference string, problem string, target string")
-    known = targets.select(F.col("target")).distinct().withColumn("known", F.lit(True))
-    joined = found.join(known, "target", "left")
-    return joined.where("problem IS NOT NULL OR known IS NULL").select("route", "reference", F.coalesce("problem", F.lit("broken")).alias("problem"))
+            for path, raw in zip(pdf["path"], pdf["content"], strict=True):
+                text = bytes(raw).decode("utf-8", "replace")
+                found = _sheet_findings(path, text) if path.endswith(".css") else [f for n in parse(text).walk() for f in _svg_findings(n)]
+                out += [(path, *f) for f in found]
+            yield pd.DataFrame(out, columns=["route", "reference", "problem", "target", "fragment"])
+
+    def anchors(batches):
+        for pdf in batches:
+            yield pd.DataFrame([(r, n) for r, t in zip(pdf["route"], pdf["html"], strict=True) for n in set(_names(t))], columns=["target", "fragment"])
+
+    found = rendered.select("route", "html").mapInPandas(pages, schema)
+    if resources is not None:
+        found = found.unionByName(resources.where(F.col("path").rlike(r"\.(css|svg)$")).select("path", "content").mapInPandas(files, schema))
+    known = targets.select("target").distinct().withColumn("known", F.lit(True))
+    named = rendered.select("route", "html").mapInPandas(anchors, "target string, fragment string").withColumn("named", F.lit(True))
+    joined = found.join(known, "target", "left").join(named, ["target", "fragment"], "left")
+    lost = F.col("fragment").isNotNull() & F.col("target").rlike(r"\.html?$") & F.col("named").isNull()
+    problem = F.coalesce("problem", F.when(F.col("known").isNull(), "broken").when(lost, "anchor"))
+    return joined.select("route", "reference", problem.alias("problem")).where("problem IS NOT NULL")

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.identity import payload_digest, post_identity
-from palimpsest.operators import gates
+from palimpsest.operators import gates, relations
 from palimpsest.plans.registry import CAPTURES, POSTS, Tables, query
+from palimpsest.sources import harvest
 from palimpsest.sources.manifest import ROW_RULES
 
 
@@ -66,15 +67,16 @@ def payload_digests(t: Tables) -> DataFrame:
 def mime_routing(t: Tables) -> DataFrame:
     """Payloads by type: style sheets, pages, others."""
     mime = F.element_at(F.array(*map(F.lit, ("text/css", "text/html", "image/gif", "application/pdf"))), (F.col("doc_id") % 4 + 1).cast("int"))
-    rows = t.documents.select((F.col("doc_id") % 4).alias("mime"), mime.alias("m"))
-    return rows.groupBy("mime").agg(F.count("*").alias("n"), F.count_if(F.col("m").isin("text/html", "application/xhtml+xml")).alias("parsed"), F.count_if(F.col("m") == "text/css").alias("stylesheets"), F.count_if(~F.col("m").isin("text/html", "application/xhtml+xml", "text/css")).alias("stored"))
+    rows = t.documents.select((F.col("doc_id") % 4).alias("mime"), relations.role(mime).alias("role"))
+    n = lambda role, name: F.count_if(F.col("role") == role).alias(name)
+    return rows.groupBy("mime").agg(F.count("*").alias("n"), n("page", "parsed"), n("stylesheet", "stylesheets"), n("stored", "stored"))
 
 
 @query(f"""WITH {POSTS} SELECT post_id, posted_at FROM posts WHERE posted_at BETWEEN '1994-01-01T00:00:00' AND '1995-06-30T23:59:59'
 UNION ALL SELECT -o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') FROM orders WHERE coalesce(CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END BETWEEN '1994-01-01T00:00:00' AND '1995-06-30T23:59:59', false) OR coalesce(CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END BETWEEN '1994-01-01T00:00:00' AND '1995-06-30T23:59:59', false)""")
 def period_filter(t: Tables) -> DataFrame:
     """Posts in the period and listings with either time in it."""
-    inside = lambda c: F.coalesce(c.between("1994-01-01T00:00:00", "1995-06-30T23:59:59"), F.lit(False))
+    inside = lambda c: relations.within(c, "1994-01-01T00:00:00", "1995-06-30T23:59:59")
     posts = t.posts().where(inside(F.col("posted_at"))).select("post_id", "posted_at")
     at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     listings = t.orders.where(inside(F.when(F.col("o_orderstatus") == "O", at)) | inside(F.when(F.col("o_orderstatus") == "P", at)))
@@ -95,7 +97,8 @@ def post_sources(t: Tables) -> DataFrame:
     """Distinct provenance of posts through the pending bridge."""
     pending = t.lineitem.select(F.col("l_orderkey").alias("post_id"), F.col("l_suppkey").alias("capture_id"))
     posts = t.orders.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("post_id"))
-    return posts.join(pending, "post_id").distinct().groupBy("post_id").agg(F.count("*").alias("sources"), F.min("capture_id").alias("first_source"))
+    found = relations.provenance(posts, pending, "post_id")
+    return found.groupBy("post_id").agg(F.count("*").alias("sources"), F.min("capture_id").alias("first_source"))
 
 
 @query("""SELECT o_orderkey AS post_id, l_suppkey AS capture_id, s_nationkey AS topic_id FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey
@@ -105,7 +108,7 @@ def terminal_evidence(t: Tables) -> DataFrame:
     posts = t.orders.where("o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("post_id"))
     bridge = t.lineitem.where("l_returnflag = 'N' AND l_linestatus = 'O'").select(F.col("l_orderkey").alias("post_id"), F.col("l_suppkey").alias("capture_id"))
     captures = t.supplier.where("s_nationkey = 3").select(F.col("s_suppkey").alias("capture_id"), F.col("s_nationkey").alias("topic_id"))
-    return bridge.join(captures, "capture_id").join(posts, "post_id").select("post_id", "capture_id", "topic_id")
+    return relations.proofs(posts, bridge, captures, "post_id", "capture_id").select("post_id", "capture_id", "topic_id")
 
 
 @query(f"""WITH {CAPTURES} SELECT capture_id, kind, timestamp FROM captures WHERE value >= 5 AND kind IN ('view', 'click', 'purchase') ORDER BY CASE kind WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, timestamp, capture_id LIMIT 50""")
@@ -113,14 +116,14 @@ def pending_topk(t: Tables) -> DataFrame:
     """The head of the download queue (F13, O8); the limit is the feature."""
     rows = t.captures().where((F.col("value") >= 5) & F.col("kind").isin("view", "click", "purchase"))
     rank = F.when(F.col("kind") == "view", 0).when(F.col("kind") == "click", 1).otherwise(2)
-    return rows.orderBy(rank, "timestamp", "capture_id").limit(50).select("capture_id", "kind", "timestamp")
+    return relations.queue_head(rows, rank, ["timestamp", "capture_id"], 50).select("capture_id", "kind", "timestamp")
 
 
 @query("SELECT event_id, user_id FROM events WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = user_id AND o_orderkey % 3 = 0)")
 def resume_antijoin(t: Tables) -> DataFrame:
     """Inventory entries that aren't in the manifest yet."""
-    done = t.orders.where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("user_id")).distinct()
-    return t.events.select("event_id", "user_id").join(done, "user_id", "left_anti")
+    done = t.orders.where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("user_id"))
+    return harvest.pending(t.events.select("event_id", "user_id"), done, ("user_id",))
 
 
 @query(f"""WITH {CAPTURES}, r AS (SELECT capture_id, timestamp, user_id % 30 AS url, kind, value >= 10 AS valid FROM captures),
@@ -128,8 +131,8 @@ k AS (SELECT timestamp, url, max(capture_id) AS line, min(capture_id) AS positio
 SELECT timestamp, url, position, (SELECT kind FROM r WHERE capture_id = line) AS kind FROM k""")
 def manifest_compact(t: Tables) -> DataFrame:
     """The last valid row of each key at the place of its first."""
-    rows = t.captures().where("value >= 10").select("timestamp", (F.col("user_id") % 30).alias("url"), "capture_id", "kind")
-    return rows.groupBy("timestamp", "url").agg(F.min("capture_id").alias("position"), F.max_by("kind", "capture_id").alias("kind"))
+    rows = t.captures().where("value >= 10").select("timestamp", (F.col("user_id") % 30).alias("url"), "kind", F.col("capture_id").alias("position"))
+    return relations.last_valid(rows, ["timestamp", "url"], "position")
 
 
 @query("""SELECT 'orders_customer' AS gate, count(*) AS broken FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'lineitem_part', count(*) FROM lineitem WHERE l_partkey % 7 <> 0 AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 7 <> 1)

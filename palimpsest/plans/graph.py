@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.operators import relations
 from palimpsest.operators.asof import nearest_asof
 from palimpsest.operators.closure import fixpoint
 from palimpsest.plans.registry import CAPTURES, Tables, query
@@ -47,11 +48,7 @@ def resolve_cascade(t: Tables) -> DataFrame:
     routes = lambda where, path: c.where(where).select(F.col("c_custkey").alias("target"), path.alias("path"))
     text = lambda prefix, col: F.concat(F.lit(prefix), F.col(col).cast("string"))
     steps = [routes("c_custkey % 3 = 0", text("exact/", "c_custkey")), routes("c_custkey % 3 <> 2", text("alias/", "c_nationkey")), routes("c_custkey % 7 = 0", text("print/", "c_custkey")), routes("c_custkey % 5 = 0", text("post/", "c_custkey"))]
-    ranked = None
-    for i, s in enumerate(steps):
-        s = s.withColumn("step", F.lit(i))
-        ranked = s if ranked is None else ranked.unionByName(s)
-    best = ranked.groupBy("target").agg(F.min_by("path", "step").alias("path"))
+    best = relations.first_found(steps, ["target"], "path")
     return t.events.select(F.col("event_id").alias("ref_id"), F.col("user_id").alias("target")).join(best, "target", "left").select("ref_id", "target", "path")
 
 
@@ -61,7 +58,7 @@ def missing_refs(t: Tables) -> DataFrame:
     """Targets without a capture, by kind; inert actions aren't missing."""
     refs = t.lineitem.select(F.col("l_partkey").alias("target"), F.when(F.col("l_linenumber") % 2 == 0, "page").otherwise("asset").alias("kind"))
     known = t.part.where("p_size > 25").select(F.lit("page").alias("kind"), F.col("p_partkey").alias("target")).union(t.part.where("p_size <= 40").select(F.lit("asset"), "p_partkey"))
-    lost = refs.join(known, ["kind", "target"], "left_anti").where("kind <> 'page' OR target % 10 <> 0")
+    lost = relations.lost(refs, known, ["kind", "target"], (F.col("kind") == "page") & (F.col("target") % 10 == 0))
     return lost.groupBy("kind").agg(F.count_distinct("target").alias("missing"), F.count("*").alias("occurrences"))
 
 
@@ -81,25 +78,22 @@ SELECT id, kind FROM sel UNION SELECT id, kind FROM more""")
 def entity_fallback(t: Tables) -> DataFrame:
     """Entities to generate: missing ones that are known, and the topics that theirs need."""
     kind = F.when(F.col("l_linenumber") % 3 == 0, "forum").when(F.col("l_linenumber") % 3 == 1, "user").otherwise("topic")
-    missing = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_suppkey").alias("id"), kind.alias("kind")).distinct()
+    asked = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_suppkey").alias("id"), kind.alias("kind"))
     known = t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.lit("forum").alias("kind")).union(t.customer.select("c_custkey", F.lit("user"))).union(t.supplier.where("s_nationkey < 12").select("s_suppkey", F.lit("topic")))
-    chosen = missing.join(known, ["id", "kind"], "left_semi")
-    of = lambda k, name: chosen.where(F.col("kind") == k).select(F.col("id").alias(name))
-    by_forum = t.supplier.join(of("forum", "s_nationkey"), "s_nationkey", "left_semi").select(F.col("s_suppkey").alias("id"), F.lit("topic").alias("kind"))
-    by_user = t.orders.join(of("user", "o_custkey"), "o_custkey", "left_semi").select((F.col("o_orderkey") % 50).alias("id"), F.lit("topic").alias("kind"))
-    return chosen.union(by_forum).union(by_user).distinct()
+    shown = lambda df, own, owner, of: df.select(own.alias("id"), F.lit("topic").alias("kind"), F.col(owner).cast("bigint").alias("owner"), F.lit(of).alias("owner_kind"))
+    members = [shown(t.supplier, F.col("s_suppkey"), "s_nationkey", "forum"), shown(t.orders, F.col("o_orderkey") % 50, "o_custkey", "user")]
+    return relations.with_members(asked, known, ["id", "kind"], [(m, ["owner", "owner_kind"]) for m in members])
 
 
 @query(f"""WITH {CAPTURES} SELECT capture_id, timestamp, kind = 'purchase' AS is_portal FROM captures WHERE kind IN ('view', 'purchase') ORDER BY (kind = 'purchase') DESC, timestamp DESC, capture_id DESC LIMIT 1""")
 def homepage_pick(t: Tables) -> DataFrame:
     """The newest portal, else the newest index page (A13); one row is the feature."""
-    rows = t.captures().where(F.col("kind").isin("view", "purchase")).select("capture_id", "timestamp", (F.col("kind") == "purchase").alias("is_portal"))
-    return rows.orderBy(F.desc("is_portal"), F.desc("timestamp"), F.desc("capture_id")).limit(1)
+    rows = t.captures().where(F.col("kind").isin("view", "purchase")).select("capture_id", "timestamp", "kind")
+    return relations.newest(rows, F.col("kind") == "purchase", ["timestamp", "capture_id"]).drop("kind")
 
 
 @query("""WITH k AS (SELECT page_id, url AS key, false AS requested FROM pages UNION ALL SELECT page_id, regexp_replace(url, '[?#].*$', ''), true FROM pages WHERE regexp_replace(url, '[?#].*$', '') <> url) SELECT key, count(*) AS captures, min(page_id) AS first_page FROM k GROUP BY key""")
 def requested_alias(t: Tables) -> DataFrame:
     """Captures also answer for the address that was asked for."""
-    plain = F.regexp_replace("url", "[?#].*$", "")
-    keys = t.pages.select("page_id", F.col("url").alias("key")).union(t.pages.where(plain != F.col("url")).select("page_id", plain))
+    keys = relations.answering(t.pages.select("page_id", "url"), F.col("url"), F.regexp_replace("url", "[?#].*$", ""), "key")
     return keys.groupBy("key").agg(F.count("*").alias("captures"), F.min("page_id").alias("first_page"))

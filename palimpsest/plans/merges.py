@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.operators import relations
 from palimpsest.operators.merge import argmax_row, conflict_checked, dominant, latest_wins
 from palimpsest.plans.registry import CAPTURES, POSTS, Tables, query
+from palimpsest.sources import harvest
 
 
 @query(f"""WITH {CAPTURES}, v AS (SELECT *, nullif(kind, 'error') AS title FROM captures),
@@ -34,8 +36,7 @@ SELECT forum_id, arg_max(name, capture_id) FILTER (WHERE name IS NOT NULL) AS na
 def forum_merge(t: Tables) -> DataFrame:
     """Forums (U4): last known name in ingestion order, extremes of the times seen."""
     rows = t.captures().select((F.col("user_id") % 40).alias("forum_id"), "timestamp", "capture_id", F.nullif("kind", F.lit("error")).alias("name"))
-    known = F.max(F.when(F.col("name").isNotNull(), F.struct("capture_id", "name")))["name"]
-    return rows.groupBy("forum_id").agg(known.alias("name"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"))
+    return relations.merge_known(rows, ["forum_id"], ["capture_id"], {"name": "name"}, more=relations.seen())
 
 
 @query(f"""WITH {CAPTURES}, v AS (SELECT user_id AS topic_id, user_id % 7 AS forum_id, timestamp, capture_id, nullif(kind, 'click') AS title, CASE WHEN value > 50 THEN timestamp END AS listed FROM captures)
@@ -44,8 +45,7 @@ SELECT topic_id, arg_max(title, capture_id) FILTER (WHERE title IS NOT NULL) AS
 def topic_merge(t: Tables) -> DataFrame:
     """Topics (U5): last known title, first and last known listing times."""
     rows = t.captures().select(F.col("user_id").alias("topic_id"), "timestamp", "capture_id", F.nullif("kind", F.lit("click")).alias("title"), F.when(F.col("value") > 50, F.col("timestamp")).alias("listed"))
-    place = lambda c: F.when(F.col(c).isNotNull(), F.struct("capture_id", c))
-    return rows.groupBy("topic_id").agg(F.max(place("title"))["title"].alias("title"), F.min(place("listed"))["listed"].alias("first_posted_at"), F.max(place("listed"))["listed"].alias("last_posted_at"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"))
+    return relations.merge_known(rows, ["topic_id"], ["capture_id"], {"title": "title", "last_posted_at": "listed"}, {"first_posted_at": "listed"}, relations.seen())
 
 
 @query(f"""WITH {CAPTURES}, v AS (SELECT CASE WHEN user_id % 3 = 0 THEN 'name:a:' || kind ELSE 'id:a:' || user_id END AS identity, CASE WHEN user_id % 3 <> 0 THEN user_id END AS historical_id, kind || (capture_id % 5) AS username, capture_id FROM captures)
@@ -54,8 +54,8 @@ def user_merge(t: Tables) -> DataFrame:
     """Users (U6): the last name of users with an id, the first of users known by name."""
     named = F.col("user_id") % 3 == 0
     rows = t.captures().select(F.when(named, F.concat(F.lit("name:a:"), "kind")).otherwise(F.concat(F.lit("id:a:"), F.col("user_id").cast("string"))).alias("identity"), F.when(~named, F.col("user_id")).alias("historical_id"), F.concat("kind", (F.col("capture_id") % 5).cast("string")).alias("username"), "capture_id")
-    got = rows.groupBy("identity").agg(F.min("historical_id").alias("historical_id"), F.max_by("username", "capture_id").alias("last"), F.min_by("username", "capture_id").alias("first"))
-    return got.select("identity", F.coalesce("historical_id", F.lit(0)).alias("historical_id"), F.when(F.col("identity").startswith("id:"), F.col("last")).otherwise(F.col("first")).alias("username"))
+    got = relations.merge_users(rows, "identity", ["capture_id"], ["username"], F.col("identity").startswith("id:"), ["historical_id"])
+    return got.select("identity", F.coalesce("historical_id", F.lit(0)).alias("historical_id"), "username")
 
 
 @query(f"""WITH {CAPTURES}, v AS (SELECT user_id AS url, timestamp, capture_id, nullif(kind, 'view') AS mimetype, CASE WHEN value > 10 THEN value END AS length FROM captures)
@@ -64,8 +64,7 @@ SELECT url, timestamp, arg_max(mimetype, capture_id) FILTER (WHERE mimetype IS N
 def capture_blob_merge(t: Tables) -> DataFrame:
     """Captures (U1) keep the last known values, blobs (U2) the first known type."""
     rows = t.captures().select(F.col("user_id").alias("url"), "timestamp", "capture_id", F.nullif("kind", F.lit("view")).alias("mimetype"), F.when(F.col("value") > 10, F.col("value")).alias("length"))
-    known = lambda f, c: f(F.when(F.col(c).isNotNull(), F.struct("capture_id", c)))[c]
-    return rows.groupBy("url", "timestamp").agg(known(F.max, "mimetype").alias("mimetype"), known(F.max, "length").alias("length"), known(F.min, "mimetype").alias("blob_mimetype"))
+    return relations.merge_known(rows, ["url", "timestamp"], ["capture_id"], {"mimetype": "mimetype", "length": "length"}, {"blob_mimetype": "mimetype"})
 
 
 @query(f"""WITH {CAPTURES}, c AS (SELECT user_id, hash_v, count(*) AS occurrences FROM (SELECT user_id, capture_id % 5 AS hash_v FROM captures) GROUP BY ALL)
@@ -86,8 +85,8 @@ def route_argmax(t: Tables) -> DataFrame:
 @query(f"""WITH {CAPTURES} SELECT user_id % 100 AS route, timestamp, count(DISTINCT kind) AS versions FROM captures WHERE user_id % 10 <> 0 GROUP BY ALL HAVING count(DISTINCT kind) > 1""")
 def route_collisions(t: Tables) -> DataFrame:
     """Routes with different contents at one time, but for intentionally shared ones."""
-    rows = t.captures().where("user_id % 10 <> 0").select((F.col("user_id") % 100).alias("route"), "timestamp", "kind")
-    return rows.groupBy("route", "timestamp").agg(F.count_distinct("kind").alias("versions")).where("versions > 1")
+    rows = t.captures().select((F.col("user_id") % 100).alias("route"), "timestamp", "kind")
+    return relations.collisions(rows, ["route", "timestamp"], "kind", F.col("route") % 10 == 0)
 
 
 @query(f"""WITH {CAPTURES}, k AS (SELECT timestamp, user_id % 25 AS original_url, capture_id, kind FROM captures)
@@ -104,7 +103,7 @@ ACTIVITY = "activity AS (SELECT era, topic_id, user_id, posted_at FROM posts WHE
 def activity(t: Tables) -> DataFrame:
     """Posts and evidence together (set operation of §2.9)."""
     posts = t.posts().select("era", "topic_id", "user_id", "posted_at", "status", "post_id")
-    return posts.where("status <> 'F'").unionByName(posts.where("status = 'F' AND post_id % 2 = 0")).drop("status", "post_id")
+    return relations.activity(posts.where("status <> 'F'").drop("status", "post_id"), posts.where("status = 'F' AND post_id % 2 = 0").drop("status", "post_id"))
 
 
 @query(f"""WITH {POSTS}, {ACTIVITY}, s AS (SELECT era, topic_id, min(posted_at) AS lo, max(posted_at) AS hi FROM activity WHERE posted_at IS NOT NULL GROUP BY ALL),
@@ -112,20 +111,16 @@ topics AS (SELECT DISTINCT c_mktsegment AS era, c_nationkey AS topic_id, '1900'
 SELECT era, topic_id, coalesce(lo, listed) AS first_posted_at, coalesce(hi, listed) AS last_posted_at FROM topics LEFT JOIN s USING (era, topic_id)""")
 def topic_activity(t: Tables) -> DataFrame:
     """Extremes of the activity of each topic; topics without any keep their listing's (A3)."""
-    stats = activity(t).where("posted_at IS NOT NULL").groupBy("era", "topic_id").agg(F.min("posted_at").alias("lo"), F.max("posted_at").alias("hi"))
     topics = t.customer.select(F.col("c_mktsegment").alias("era"), F.col("c_nationkey").alias("topic_id")).distinct()
-    listed = F.lit("1900")
-    return topics.join(stats, ["era", "topic_id"], "left").select("era", "topic_id", F.coalesce("lo", listed).alias("first_posted_at"), F.coalesce("hi", listed).alias("last_posted_at"))
+    return relations.with_activity(topics, activity(t), ["era", "topic_id"], F.lit("1900"), F.lit("1900"))
 
 
 @query(f"""WITH {POSTS}, {ACTIVITY}, s AS (SELECT user_id, min(posted_at) AS lo, max(posted_at) AS hi FROM activity GROUP BY ALL), n AS (SELECT user_id, count(*) AS n FROM posts GROUP BY ALL)
 SELECT c_custkey AS user_id, lo AS first_posted_at, hi AS last_posted_at, coalesce(n, 0) AS post_count FROM customer LEFT JOIN s ON s.user_id = c_custkey LEFT JOIN n ON n.user_id = c_custkey""")
 def user_activity(t: Tables) -> DataFrame:
     """Extremes of the activity and number of posts of each user, also of those without any (A4)."""
-    stats = activity(t).groupBy("user_id").agg(F.min("posted_at").alias("first_posted_at"), F.max("posted_at").alias("last_posted_at"))
-    counts = t.posts().groupBy("user_id").agg(F.count("*").alias("n"))
     users = t.customer.select(F.col("c_custkey").alias("user_id"))
-    return users.join(stats, "user_id", "left").join(counts, "user_id", "left").select("user_id", "first_posted_at", "last_posted_at", F.coalesce("n", F.lit(0)).alias("post_count"))
+    return relations.with_count(relations.with_activity(users, activity(t), ["user_id"]), t.posts(), "user_id", "post_count")
 
 
 @query("SELECT (SELECT count(*) FROM events) AS captures, (SELECT count(*) FROM orders) AS posts, (SELECT count(*) FROM customer) AS users, (SELECT count(*) FROM nation) AS forums, (SELECT count(*) FROM pages) AS pages, (SELECT count(*) FROM documents) AS documents")
@@ -143,7 +138,8 @@ def table_counts(t: Tables) -> DataFrame:
 def download_counters(t: Tables) -> DataFrame:
     """Counters of a download run."""
     whole = F.floor("value").cast("bigint")
-    return t.captures().groupBy("kind").agg(F.count("*").alias("queued"), F.count_if(F.col("value") >= 20).alias("downloaded"), F.count_if(F.col("value") < 20).alias("failed"), F.count_if(F.col("user_id") % 5 == 0).alias("skipped"), F.sum(F.when(F.col("value") >= 20, whole)).alias("bytes"))
+    results = t.captures().select("kind", F.when(F.col("value") < 20, "status 404").alias("error"), F.when(F.col("value") >= 20, whole).alias("retrieved_length"), (F.col("user_id") % 5 == 0).alias("skipped"))
+    return harvest.counters(results, F.count_if("skipped"), ["kind"])
 
 
 @query(f"""WITH {CAPTURES}, r AS (SELECT capture_id, user_id, CASE WHEN kind = 'view' THEN user_id || ':' || timestamp ELSE user_id::VARCHAR END AS identity, timestamp FROM captures)
@@ -151,14 +147,15 @@ SELECT identity, arg_min(capture_id, timestamp || lpad(capture_id::VARCHAR, 12,
 def blob_targets(t: Tables) -> DataFrame:
     """One copy per content; style sheets also by time."""
     identity = F.when(F.col("kind") == "view", F.concat_ws(":", F.col("user_id").cast("string"), "timestamp")).otherwise(F.col("user_id").cast("string"))
-    return t.captures().withColumn("identity", identity).groupBy("identity").agg(F.min_by("capture_id", F.struct("timestamp", "capture_id")).alias("target"), F.count("*").alias("captures"))
+    return relations.first_of_identity(t.captures(), identity, "capture_id", ["timestamp", "capture_id"]).withColumnRenamed("capture_id", "target")
 
 
 @query(f"""WITH {CAPTURES} SELECT user_id AS capture, min(kind) AS alias, min(kind || lpad(capture_id::VARCHAR, 12, '0')) AS first_alias FROM captures GROUP BY user_id""")
 def first_alias(t: Tables) -> DataFrame:
     """First alias of each capture in a fixed order."""
-    rows = t.captures().groupBy(F.col("user_id").alias("capture")).agg(F.min(F.struct("kind", "capture_id")).alias("a"))
-    return rows.select("capture", F.col("a.kind").alias("alias"), F.concat("a.kind", F.lpad(F.col("a.capture_id").cast("string"), 12, "0")).alias("first_alias"))
+    rows = t.captures().withColumn("first_alias", F.concat("kind", F.lpad(F.col("capture_id").cast("string"), 12, "0")))
+    found = relations.first_of_identity(rows, F.col("user_id"), "first_alias", ["kind", "capture_id"])
+    return found.select(F.col("identity").alias("capture"), F.expr("left(first_alias, length(first_alias) - 12)").alias("alias"), "first_alias")
 
 
 @query("SELECT conv_id AS topic_id, turn AS post_id, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS previous_role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position FROM conversations")

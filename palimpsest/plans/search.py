@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.operators import relations
 from palimpsest.operators.search import postings, top
 from palimpsest.plans.registry import POSTS, Tables, query
 
@@ -27,13 +28,12 @@ def search_top50(t: Tables) -> DataFrame:
 @query(f"""WITH {POSTS} SELECT era, topic_id, count(*) AS posts, count(DISTINCT user_id) AS authors, min(posted_at) AS first_posted_at, string_agg(post_id::VARCHAR, ',' ORDER BY posted_at NULLS FIRST, post_id) AS post_ids FROM posts GROUP BY era, topic_id""")
 def topic_pages(t: Tables) -> DataFrame:
     """Posts of each topic in page order (J18, J21, K8, O6), keyed by era and topic."""
-    ordered = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("posted_at", "post_id"))), lambda p: p["post_id"].cast("string")), ",")
-    return t.posts().groupBy("era", "topic_id").agg(F.count("*").alias("posts"), F.count_distinct("user_id").alias("authors"), F.min("posted_at").alias("first_posted_at"), ordered.alias("post_ids"))
+    ids = relations.joined_in_order(["posted_at", "post_id"], F.col("post_id").cast("string"), ",")
+    return t.posts().groupBy("era", "topic_id").agg(F.count("*").alias("posts"), F.count_distinct("user_id").alias("authors"), F.min("posted_at").alias("first_posted_at"), ids.alias("post_ids"))
 
 
 @query("SELECT n_nationkey AS forum_id, n_name AS name, r_name AS category, count(c_custkey) AS topics FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2, 3")
 def forum_pages(t: Tables) -> DataFrame:
     """Forums with their topics."""
-    topics = t.customer.groupBy("c_nationkey").agg(F.count("*").alias("n"))
-    forums = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
-    return forums.join(topics, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(F.col("n_nationkey").alias("forum_id"), F.col("n_name").alias("name"), F.col("r_name").alias("category"), F.coalesce("n", F.lit(0)).alias("topics"))
+    forums = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("forum_id"), F.col("n_name").alias("name"), F.col("r_name").alias("category"))
+    return relations.with_count(forums, t.customer.withColumnRenamed("c_nationkey", "forum_id"), "forum_id", "topics")

@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Fetcher = Callable[[str], tuple[int, dict[str, str], bytes]]
@@ -25,9 +25,9 @@ def retry_delay(headers: dict[str, str], attempt: int) -> float:
     return float(min(300, max(1, int(given)))) if given.isdigit() else float(min(120, 2**attempt))
 
 
-def pending(inventory: DataFrame, manifest: DataFrame) -> DataFrame:
+def pending(inventory: DataFrame, manifest: DataFrame, on: tuple[str, ...] = ("timestamp", "original_url")) -> DataFrame:
     """Inventory rows whose (time, address) isn't in the manifest."""
-    return inventory.join(manifest.select("timestamp", "original_url"), ["timestamp", "original_url"], "left_anti")
+    return inventory.join(manifest.select(*on).distinct(), list(on), "left_anti")
 
 
 def fetch(rows: DataFrame, fetcher: Fetcher, replay: str = "https://web.archive.org/web/{timestamp}id_/{original_url}", parallel: int = 4, retries: int = 5, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
@@ -58,7 +58,8 @@ def fetch(rows: DataFrame, fetcher: Fetcher, replay: str = "https://web.archive.
     return rows.select("timestamp", "original_url", "digest").repartition(parallel, "timestamp", "original_url").mapInPandas(run, RESULT)
 
 
-def counters(results: DataFrame, skipped: int) -> DataFrame:
-    """queued, downloaded, failed, skipped, bytes of a run."""
+def counters(results: DataFrame, skipped: int | Column, by: list[str] | None = None) -> DataFrame:
+    """queued, downloaded, failed, skipped, bytes of a run, or of each group of it."""
     ok = F.col("error").isNull()
-    return results.agg(F.count("*").alias("queued"), F.count_if(ok).alias("downloaded"), F.count_if(~ok).alias("failed"), F.lit(skipped).alias("skipped"), F.coalesce(F.sum("retrieved_length"), F.lit(0)).alias("bytes"))
+    skipped = F.lit(skipped) if isinstance(skipped, int) else skipped
+    return results.groupBy(*(by or [])).agg(F.count("*").alias("queued"), F.count_if(ok).alias("downloaded"), F.count_if(~ok).alias("failed"), skipped.alias("skipped"), F.coalesce(F.sum("retrieved_length"), F.lit(0)).alias("bytes"))

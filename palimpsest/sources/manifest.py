@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from palimpsest.functions.identity import payload_digest
 from palimpsest.operators import gates
 from palimpsest.operators.merge import conflict_checked
+from palimpsest.operators.relations import last_valid
 
 TEXT = ("timestamp", "original_url", "mimetype", "digest", "payload_digest", "sha256", "path", "source", "requested_url", "digest_source", "retrieved_at", "statuscode", "length", "retrieved_length")
 FLAGS = ("cdx_digest_matches_payload", "source_record_complete")
@@ -78,8 +79,7 @@ def compact_manifest(spark: SparkSession, path: str) -> DataFrame:
     rows = lines.select("at", F.from_json("value", SCHEMA, {"mode": "PERMISSIVE"}).alias("r")).where("r IS NOT NULL").select("at", "r.*")
     for rule in _rules().values():
         rows = rows.where(F.coalesce(rule, F.lit(False)))
-    kept = rows.groupBy(*KEY).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in {*KEY, "at"}]), "at").alias("r"), F.min("at").alias("at"))
-    return kept.select(*KEY, "r.*", F.col("at").alias("ord"))
+    return last_valid(rows, KEY, "at").withColumnRenamed("at", "ord")
 
 
 def with_payload(rows: DataFrame, blobs: DataFrame) -> DataFrame:

@@ -59,8 +59,37 @@ def test_canonical():
     assert urls.canonical("HTTPS://www.Forum.example.net:443//phpbb2/viewTopic.php?t\\0751&sid=abc&start=0#x") == "http://forum.example.net/phpbb2/viewtopic.php?t=1"
     assert urls.canonical("https://web.archive.org/web/2005id_/http://example.net/a") == "http://example.net/a"
     assert urls.canonical("http://[bad") == ""
+    assert urls.canonical("http://example.net") == urls.canonical("http://example.net/") == "http://example.net/"
+    assert urls.canonical("http://example.net?b=1&a=2") == "http://example.net/?a=2&b=1"
 
 
+def test_targets_of_style_sheets_depend_on_their_time():
+    one, other = (routes.resource_target("ab" * 32, "http://example.net/s.css", "text/css", t) for t in ("20040101000000", "20050101000000"))
+    assert one != other and one.endswith("/20040101000000/s.css")
+    assert routes.resource_target("ab" * 32, "http://example.net/x.gif", "image/gif", "20040101000000") == routes.resource_target("ab" * 32, "http://example.net/x.gif", "image/gif")
+
+
+def test_stray_bytes_take_linear_time():
+    import time
+
+    began = time.monotonic()
+    text, name = encoding.decode(b"a\xe7\xe3o \x81" * 100_000)
+    assert name == "utf-8/windows-1252-mixed" and text == "ação \x81" * 100_000 and time.monotonic() - began < 20
+
+
+def test_links_keep_their_fragment_and_lose_their_session():
+    html = b"<a href='viewtopic.php?t=5&sid=abc'>a</a><a href='viewtopic.php?t=5#p12'>b</a><a href='http://web.archive.org/web/2005/http://forum.example.net/phpbb3/viewtopic.php?t=5'>c</a><a href='http://web.archive.org/x'>d</a>"
+    known = {"http://forum.example.net/phpbb3/viewtopic.php?t=5": "phpbb3/topicos/5/index.html"}
+    out = rewrite.preserve_page(html, "http://forum.example.net/phpbb3/index.php", "phpbb3/index.html", lambda u: known.get(urls.canonical(u)), {}.get)
+    assert out.count('href="topicos/5/index.html"') == 2 and 'href="topicos/5/index.html#p12"' in out and out.count("archive-link-missing") == 1
+
+
+def test_posts_outside_the_period_are_taken_out():
+    post = "<table class='tablebg'><tr><td><a name='p{0}'></a><b class='postauthor'>A</b></td><td>Posted: {1}</td></tr><tr><td><div class='postbody'>body{0}</div></td></tr></table>"
+    html = "<html><body>" + post.format(1, "x") + post.format(2, "y") + "</body></html>"
+    out = rewrite.preserve_page(html.encode(), "http://forum.example.net/phpbb3/viewtopic.php?t=1", "phpbb3/topicos/1/index.html", {}.get, {}.get, "phpbb3", frozenset({1}), search=True)
+    assert "body1" in out and "body2" not in out and 'action="../../../busca/index.html"' in out and 'href="../../../assets/archive-search.css"' in out
+
 def test_digest(spark):
     raw = b"payload"
     got = spark.createDataFrame([(bytearray(raw),)], "c binary").select(identity.payload_digest(F.col("c"))).first()[0]
@@ -75,7 +104,10 @@ def test_css_and_srcset():
     assert markup.css_references("/* url(a) */ b{c:url( 'd.png' )} @import \"e.css\"; f{g:'url(h)'}") == ["d.png", "e.css"]
     assert markup.rewrite_css("a{b:url(x)} @import 'y';", {}.get) == 'a{b:url("data:,")} '
     assert markup.parse_srcset("data:image/gif;base64,AA== 1x, b.png 2x") == [("data:image/gif;base64,AA==", "1x"), ("b.png", "2x")]
-    assert markup.safe_declarations("color:red;behavior:url(x)") == "color:red"
+    assert markup.clean_css("color:red;behavior:url(x)") == "color:red;"
+    assert markup.clean_css("a{color:red;width:expression(f(1));b:c} d{behavior:url(x)} /* expression( */ e{f:'javascript:'}") == "a{color:red;b:c} d{} /* expression( */ e{f:'javascript:'}"
+    assert markup.clean_css("color:red;width:exp\\72 ession(1);b:c") == "color:red;b:c"
+    assert [markup.clean_css(x) for x in ("a{b:u\\72l(http://x)}", "a{b:-webkit-image-set('x' 1x)}", "@\\69mport 'x';")] == ["", "", ""]
 
 
 def test_tree_is_tolerant():

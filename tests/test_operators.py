@@ -44,6 +44,23 @@ def test_nearest_asof_matches_brute_force(spark):
     assert {r.i: None if r.nearest_ts is None else (r.nearest_ts, r.nearest_c) for r in got.collect()} == want
 
 
+def test_nearest_asof_of_a_hot_key_and_unknown_times(spark):
+    """A key with nearly all rows lies in several ranges; probes without time take the last candidate."""
+    rng = random.Random(15)
+    stamp = lambda: f"200{rng.randint(1, 7)}{rng.randint(1, 12):02d}{rng.randint(1, 28):02d}000000"
+    cands = [("hot", stamp(), i) for i in range(300)] + [("cold", "20040101000000", 1000), ("hot", None, 2000)]
+    probes = [(i, "hot", stamp()) for i in range(200)] + [(900, "hot", None), (901, "cold", "20010101000000"), (902, "none", "20010101000000")]
+    secs = lambda s: __import__("datetime").datetime.strptime(s, "%Y%m%d%H%M%S").timestamp()
+    want = {}
+    for i, k, t in probes:
+        own = sorted((ts, c) for kk, ts, c in cands if kk == k and ts)
+        before, after = [x for x in own if t is None or x[0] < t], [x for x in own if t is not None and x[0] >= t]
+        sides = [x[-1 if x is before else 0] for x in (before, after) if x]
+        want[i] = min(sides, key=lambda x: (abs(secs(x[0]) - secs(t)) if t else 0, x[0]))[1] if sides else None
+    got = nearest_asof(spark.createDataFrame(probes, "i int, k string, ts string").repartition(4), spark.createDataFrame(cands, "k string, ts string, c int").repartition(4), ["k"], "ts", ["c"], ["c"])
+    assert {r.i: r.nearest_c for r in got.collect()} == want
+
+
 def test_closure_ends_on_cycles(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 5)], "node int, dst int")
     got = fixpoint(spark.createDataFrame([(1,)], "node int"), lambda f: f.join(edges, "node").select(F.col("dst").alias("node")), ["node"])
@@ -91,6 +108,28 @@ def test_fetch_and_resume(spark):
     assert harvest.retry_delay({"Retry-After": "900"}, 0) == 300 and harvest.retry_delay({}, 9) == 120
 
 
+def test_publish_replaces_the_pointer(spark, tmp_path):
+    for n in (3, 5):
+        sinks.publish(spark.range(n), f"file://{tmp_path}")
+        assert (tmp_path / "CURRENT").is_file() and sinks.current(spark, f"file://{tmp_path}").count() == n
+
+
+def test_results_are_made_once(spark, tmp_path):
+    (tmp_path / "made").mkdir()
+
+    def run(batches):
+        import uuid
+
+        for pdf in batches:
+            (tmp_path / "made" / uuid.uuid4().hex).touch()
+            yield pdf
+
+    rows = spark.range(4).coalesce(1).mapInPandas(run, "id long")
+    results = rows.select(F.when(F.col("id") > 0, F.struct("id")).alias("row"), F.when(F.col("id") == 0, F.struct("id")).alias("failure"))
+    sinks.route_results(results, f"{tmp_path}/rows", f"{tmp_path}/failures")
+    assert len(list((tmp_path / "made").iterdir())) == 1 and spark.read.json(f"{tmp_path}/rows").count() == 3 and spark.read.json(f"{tmp_path}/failures").count() == 1
+
+
 def test_sinks(spark, tmp_path):
     base = str(tmp_path / "site")
     sinks.publish(spark.range(3), base)

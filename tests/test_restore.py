@@ -77,6 +77,81 @@ def test_end_to_end(spark, tmp_path):
     assert any("novo" in r.body for r in made.collect())
 
 
+def board_page(posts, title="T"):
+    rows = "".join(f"<table><tr><td><a name='p{i}'></a><b class='postauthor'>{a}</b></td><td>Posted: {d}</td></tr><tr><td><a href='memberlist.php?mode=viewprofile&u={9 + i}'>x</a></td><td><div class='postbody'>{b}</div></td></tr></table>" for i, a, b, d in posts)
+    return f"<html><head><link rel='stylesheet' href='/s.css'><link rel='up' href='viewforum.php?f=3' title='Geral'></head><body><div id='pageheader'><h2>{title}</h2></div>{rows}<a href='viewforum.php?f=3&sid=1'>f</a><a href='viewtopic.php?t=5#p1'>self</a><img src='/d.svg'></body></html>".encode()
+
+
+def test_a_whole_site(spark, tmp_path):
+    from palimpsest.functions import rewrite
+    from palimpsest.sources import sinks
+
+    inside, outside = "Fri Mar 5, 2004 9:15 pm", "Fri Mar 5, 2010 9:15 pm"
+    files = [
+        ("20050401000000", f"{BASE}/viewtopic.php?t=5", "text/html", board_page([(1, "Ana", "dentro", inside), (2, "Bia", "fora", outside)])),
+        ("20050401000000", f"{BASE}/portal.php", "text/html", b"<html><body><a href='viewtopic.php?t=5#p1'>t</a><a href='viewtopic.php?t=5#nope'>n</a></body></html>"),
+        ("20050301000000", "http://forum.example.net/s.css", "text/css", b"a{b:url(/x.gif);behavior:url(y)} c{d:url(/gone.png)}"),
+        ("20050501000000", "http://forum.example.net/s.css", "text/css", b"a{b:url(/x.gif);behavior:url(y)} c{d:url(/gone.png)}"),
+        ("20050302000000", "http://forum.example.net/x.gif", "image/gif", b"GIF89a"),
+        ("20050302000000", "http://forum.example.net/d.svg", "image/svg+xml", b"<svg onload='x'><script>1</script><path></path></svg>"),
+    ]
+    path, blobs = archive(tmp_path, files)
+    period = Period("2004-01-01T00:00:00", "2005-03-05T21:15:00", 1, "2004-03-05T21:15:00", "20050401000000", f"{BASE}/viewtopic.php?t=5", "A" * 32)
+    a = restore.restore(manifest.read_manifest(spark, path), spark.createDataFrame(blobs, "sha256 string, content binary"), period)
+    assert [p.body_text for p in a.posts.collect()] == ["dentro"]
+    pages = restore.select_pages(a)
+    aliases, posts = restore.route_aliases(a, pages)
+    links = a.references.where("kind = 'page'").join(pages.select("capture_id", "timestamp"), "capture_id").selectExpr("target_url AS url", "timestamp")
+    resolved = restore.resolve_links(links, pages, aliases, posts)
+    resources, lost_resources = restore.resource_closure(a, pages)
+    lost = restore.missing_pages(a, pages, resolved)
+    plan = restore.entity_plan(lost, a)
+    made = restore.entity_pages(plan, a)
+    restore.require_entities(plan, made)
+    with pytest.raises(IntegrityError):
+        restore.require_entities(plan, made.limit(0))
+
+    rendered = restore.render_site(a, pages, resolved, resources, period=period, home=restore.homepage(pages), search=True)
+    html = {r.route: r.html for r in rendered.collect()}
+    topic = html["phpbb3/topicos/5/index.html"]
+    assert "dentro" in topic and "fora" not in topic and 'href="index.html#p1"' in topic and "index.html" in html
+
+    metrics = restore.build_metrics(a, pages, resources, lost, lost_resources, made, plan)
+    report = sinks.build_report(metrics)
+    counts = json.loads(report)
+    assert (counts["posts"], counts["captured_pages"], counts["copied_resource_blobs"], counts["neutralized_uncaptured_resources"], counts["generated_entity_pages"]) == (1, 2, 3, 2, made.count())
+
+    site = restore.site_files(a, rendered, made, resources, report)
+    n = sinks.write_files(site, f"file://{tmp_path}/site")
+    root = tmp_path / "site"
+    assert n == site.count() == sum(p.is_file() for p in root.rglob("*"))
+    (css,) = root.glob("recursos/**/s.css")
+    assert "behavior" not in css.read_text() and "x.gif" in css.read_text() and 'url("data:,")' in css.read_text()
+    (svg,) = root.glob("recursos/**/d.svg")
+    assert "script" not in svg.read_text() and "onload" not in svg.read_text()
+    assert (root / "phpbb3/foruns/3/index.html").read_text().startswith("<!doctype html>") and (root / ".nojekyll").exists()
+
+    targets = site.selectExpr("path AS target").union(spark.createDataFrame([(rewrite.SEARCH_PAGE,)], "target string"))
+    problems = {(r.reference.rpartition("#")[2], r.problem) for r in rewrite.output_problems(rendered, targets, site).collect()}
+    assert problems == {("nope", "anchor")}
+    bad = spark.createDataFrame([("a/b.html", "<a href='http://x/'>1</a><img src='../../c'><a href='gone.html'>2</a><form action='http://y/'></form><p style='a:image-set(x)'></p><svg><script></script></svg>")], "route string, html string")
+    sheet = spark.createDataFrame([("r/s.css", bytearray(b"a{b:url(http://z/)}"))], "path string, content binary")
+    found = sorted(r.problem for r in rewrite.output_problems(bad, targets, sheet).collect())
+    assert found == ["active drawing", "broken", "external", "external", "external", "outside the site", "unsafe style"]
+
+
+def test_the_first_post_of_a_page_speaks_for_its_forum(spark):
+    rows = [("e", 1, 7, "20040101000000", "a", 0, None), ("e", 1, 7, "20040101000000", "a", 1, "late"), ("e", 1, 8, "20050101000000", "b", 0, "first"), ("e", 1, 8, "20050101000000", "b", 1, "second")]
+    posts = spark.createDataFrame(rows, "era string, forum_id long, capture_id long, timestamp string, ord string, position int, forum_name string")
+    got = restore._of_pages(posts, "forum_id", ["forum_name"]).collect()
+    assert sorted((r.timestamp, r.forum_name) for r in got) == [("20040101000000", None), ("20050101000000", "first")]
+
+
+def test_generated_text_is_escaped(spark):
+    row = spark.createDataFrame([("a<b>&\"'\x01\tz",)], "t string").select(restore.escape_html("t").alias("t")).first()
+    assert row.t == "a&lt;b&gt;&amp;&quot;&#x27;\tz"
+
+
 def test_false_payload_is_rejected(spark, tmp_path):
     path, blobs = archive(tmp_path, FILES[:1])
     wrong = [(sha, raw + b"x") for sha, raw in blobs]
