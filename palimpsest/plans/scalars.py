@@ -101,7 +101,7 @@ def parsed_posts(t: Tables) -> DataFrame:
     return forum.posts_of(forum.parse_pages(captures)).select("topic_id", "post_id", "author_name", "posted_at")
 
 
-@query("""SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'phpbb3/topicos/' || doc_id || '/index.html' WHEN 1 THEN 'phpbb2/foruns/' || doc_id || '/inicio/50/index.html' WHEN 2 THEN 'snitz/topicos/' || doc_id || '/pagina/2/index.html'
+@query("""SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'phpbb3/topicos/' || doc_id || '/index.html' WHEN 1 THEN 'phpbb2/foruns/' || doc_id || '/inicio/50/index.html' WHEN 2 THEN 'forum/topicos/' || doc_id || '/pagina/2/index.html'
 WHEN 3 THEN 'comunidade/topicos/' || doc_id || '/index.html' WHEN 4 THEN 'phpbb3/acoes/somente-leitura/index.html' WHEN 5 THEN 'phpbb3/paginas/faq-' || doc_id || '/index.html' END AS route FROM documents""")
 def static_routes(t: Tables) -> DataFrame:
     """Routes of addresses of all forms."""
