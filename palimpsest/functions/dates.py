@@ -11,6 +11,7 @@ MONTHS = {
     7: ("jul", "july"), 8: ("ago", "aug", "august"), 9: ("set", "sep", "sept", "september"), 10: ("out", "oct", "october"), 11: ("nov", "november"), 12: ("dez", "dec", "december"),
 }
 ACCENTS = ("áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn")
+#: The four notations, as the forums write them.
 CLOCK = r"([0-9]{1,2}):([0-9]{2})(?::([0-9]{2}))?"
 NAME = "([A-Za-zÀ-ÿ]+)"
 US = rf"(?iU)([0-9]{{1,2}})-([0-9]{{1,2}})-([0-9]{{4}})\s*,?\s*{CLOCK}\s*(am|pm)"

@@ -20,16 +20,13 @@ from pyspark.sql import types as T
 from palimpsest.functions.dates import parse_forum_date
 from palimpsest.functions.encoding import decode
 from palimpsest.functions.markup import DROPPED, Node, parse, references
+from palimpsest.functions.routes import SHOWFORUM, THREAD
 from palimpsest.functions.urls import REFERENCES, resolve
 from palimpsest.profile import FORUM, SiteProfile
 
+#: The name of unknown authors, query keys of ids (lower case), dates as the pages write them.
 UNKNOWN_AUTHOR = "Desconhecido"
-USER = re.compile(r"[?&](?:u|id|userid)=(\d+)", re.I)
-TOPIC = re.compile(r"[?&](?:t|TOPIC_ID)=(\d+)", re.I)
-FORUM_ID = re.compile(r"[?&](?:f|FORUM_ID)=(\d+)", re.I)
-POST = re.compile(r"[?&#](?:p|#p)=?(\d+)", re.I)
-THREAD = re.compile(r"/forums/(?:thread/(\d+)\.aspx|permalink/(\d+)/\d+/showthread\.aspx|(\d+)/showthread\.aspx)$", re.I)
-SHOWFORUM = re.compile(r"/forums/(\d+)/showforum\.aspx", re.I)
+USER, TOPIC, FORUM_ID, POST = ("u", "id", "userid"), ("t", "topic_id"), ("f", "forum_id"), ("p",)
 WEEKDAY_DATE = re.compile(r"(?:Seg|Ter|Qua|Qui|Sex|Sáb|Sab|Dom|Mon|Tue|Wed|Thu|Fri|Sat|Sun)\s+[A-Za-zÀ-ÿ]+\s+\d{1,2},\s+\d{4}\s+\d{1,2}:\d{2}\s+(?:am|pm)", re.I)
 SLASH_DATE = re.compile(r"Postado\s*-\s*(\d{1,2}/\d{1,2}/\d{2,4}\s*:\s*\d{1,2}:\d{2}:\d{2})", re.I)
 LABELLED_DATE = re.compile(r"(?:Posted|Enviado)\s*:\s*(.+)$", re.I)
@@ -42,9 +39,14 @@ def tidy(text: str) -> str:
     return "\n".join(line for line in lines if line)
 
 
-def number(pattern: re.Pattern, url: str | None) -> int | None:
-    m = pattern.search((url or "").replace("&amp;", "&").replace("\\075", "="))
-    return int(m[1]) if m else None
+def number(keys: tuple[str, ...], url: str | None) -> int | None:
+    """The first number that a query key of ``keys`` has in an address; post ids may stand in the fragment, without a sign."""
+    parts = re.split("[?&#]" if keys is POST else "[?&]", (url or "").replace("&amp;", "&").replace("\\075", "="))
+    for part in parts[1:]:
+        name, sign, value = (part[:1], "=", part[1:].removeprefix("=")) if keys is POST else part.partition("=")
+        if sign and name.casefold() in keys and (digits := re.match(r"\d+", value)):
+            return int(digits[0])
+    return None
 
 
 def first_text(nodes: list[Node]) -> str | None:
@@ -92,9 +94,9 @@ class Page:
     listings: list[dict] = field(default_factory=list)
 
 
-def dominant_id(root: Node, endpoint: str, pattern: re.Pattern, fallback: int | None) -> int | None:
+def dominant_id(root: Node, endpoint: str, keys: tuple[str, ...], fallback: int | None) -> int | None:
     """The id most linked to; of equally many the fallback, then the first seen."""
-    counts = Counter(i for a in root.walk() if endpoint in a.attrs.get("href", "") and (i := number(pattern, a.attrs["href"])) is not None)
+    counts = Counter(i for a in root.walk() if endpoint in a.attrs.get("href", "") and (i := number(keys, a.attrs["href"])) is not None)
     return max(counts, key=lambda i: (counts[i], i == fallback), default=fallback)
 
 
@@ -235,7 +237,7 @@ def community(root: Node, url: str) -> Page:
     m = THREAD.search(urlsplit(url).path)
     page = Page(int(next(filter(None, m.groups()))) if m else None, None)
     for a in links(root, "showforum.aspx"):
-        if f := SHOWFORUM.search(a.attrs["href"]):
+        if f := SHOWFORUM.search(urlsplit(a.attrs["href"]).path):
             page.forum_id, page.forum_name = int(f[1]), tidy(a.attrs.get("title", "")) or tidy(a.text())
             break
     page.topic_title = re.sub(r"^Forum [^-]+ - ", "", title).strip() if (title := first_text(root.find("title"))) else None

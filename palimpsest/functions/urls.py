@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import html
+import re
 from collections.abc import Iterator
-from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit
+from urllib.parse import SplitResult, parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from palimpsest.profile import ASSETS, ATTACHMENTS, FORUM, PAGES, SiteProfile
 
+#: Replay addresses, paths of attachments.
 REPLAY = r"(?i)^https?://web\.archive\.org/web/\d+(?:id_|im_|js_|cs_)?/(https?://.+)$"
 ATTACHMENT_PATH = r"(?i)/(attach(ment)?|download|files?)(/|\.|$)"
 
@@ -83,30 +85,45 @@ def resource_kind(url: Column, scope: Column | None = None) -> Column:
     )
 
 
+def _identity_host(parts: SplitResult) -> str:
+    """Bare host, with a port that isn't a web server's usual one."""
+    name = (parts.hostname or "").lower().rstrip(".").removeprefix("www.")
+    return f"{name}:{parts.port}" if name and parts.port not in (None, 80, 443) else name
+
+
+def _identity_path(path: str, fold: bool) -> str:
+    """Single slashes; on the archived hosts lower case, but for files whose names may differ by case."""
+    path = re.sub("/{2,}", "/", path or "/")
+    last = path.rpartition("/")[2]
+    ending = last.rpartition(".")[2].lower() if "." in last else ""
+    return path.lower() if fold and ending not in {*ASSETS, *ATTACHMENTS} else path
+
+
+def _identity_query(query: str, profile: SiteProfile) -> str:
+    """Sorted pairs without sessions and without the start of a first page."""
+
+    def matters(pair: tuple[str, str]) -> bool:
+        key = pair[0].lower()
+        return key not in profile.session_keys and (key != profile.start_key or pair[1] not in ("", "0"))
+
+    pairs = filter(matters, parse_qsl(query, keep_blank_values=True))
+    return urlencode(sorted(pairs, key=lambda pair: (pair[0].casefold(), pair[1])))
+
+
 def canonical(url: str, profile: SiteProfile = FORUM) -> str:
     """One spelling for an address: ``http``, bare host, sorted query without session keys, no fragment."""
-    import re
-
     url = html.unescape(url.strip())
-    if m := re.match(REPLAY, url):
-        url = m[1]
-    url = re.sub(r"%5C075|\\075", "=", url, flags=re.I)
+    replayed = re.match(REPLAY, url)
+    url = re.sub(r"%5C075|\\075", "=", replayed[1] if replayed else url, flags=re.I)
     try:
         parts = urlsplit(url)
-        h = (parts.hostname or "").lower().rstrip(".").removeprefix("www.")
-        port = parts.port
+        host = _identity_host(parts)
     except ValueError:
         return ""
-    if not h:
+    if not host:
         return url
-    pairs = [(k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if k.lower() not in profile.session_keys and not (k.lower() == profile.start_key and v in ("", "0"))]
-    pairs.sort(key=lambda kv: (kv[0].casefold(), kv[1]))
-    p = re.sub("/{2,}", "/", parts.path or "/")
-    ext = p.rsplit("/", 1)[-1].rpartition(".")[2].lower() if "." in p.rsplit("/", 1)[-1] else ""
-    if h in profile.hosts and ext not in ASSETS and ext not in ATTACHMENTS:
-        p = p.lower()
-    netloc = h if port in (None, 80, 443) else f"{h}:{port}"
-    return f"http://{netloc}{p}" + (f"?{urlencode(pairs)}" if pairs else "")
+    path = _identity_path(parts.path, host.partition(":")[0] in profile.hosts)
+    return urlunsplit(("http", host, path, _identity_query(parts.query, profile), ""))
 
 
 def canonical_url(profile: SiteProfile = FORUM):
