@@ -213,7 +213,8 @@ def fit(docs: DataFrame, learnable: Column, per_language: int = 300, train_chars
     """
     own = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("id", F.col(id_col)).where(learnable)
     own = own.select("lang", "text", F.pmod(F.xxhash64(F.col("id").cast("string"), "text", F.lit(3)), F.lit(1 << 30)).alias("draw"))
-    often = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    # about how many different rows each has: repeats don't thin out its draws
+    often = own.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
     # as many rows as the limit says: about twice as many draws as are wanted stay of each language
     wanted = often.select("lang", (F.lit(float(1 << 30)) * 2 * per_language / F.col("n")).alias("below"))
     drawn = own.join(F.broadcast(wanted), "lang").where(F.col("draw") < F.col("below"))

@@ -180,3 +180,50 @@ def test_kept_documents_keep_their_columns(spark, tables):
     got = quality_rules.keep_good(docs, model)
     assert got.schema == docs.schema
     assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in quality_rules.judge(docs, model).where("kept").collect())
+
+
+def test_positions_against_a_plain_network():
+    """The batched pass equals one position at a time, with both directions' states written out."""
+    rng = np.random.default_rng(6)
+    h, e = language_id.HIDDEN, language_id.EMBED
+    model = language_id.Model(["a", "b", "c"], rng.normal(size=(2, 256, e)).astype(np.float32), rng.normal(size=(2, e + 1, 3 * h)).astype(np.float32), rng.normal(size=(2, h, 3 * h)).astype(np.float32), rng.normal(size=(2, h, 3)).astype(np.float32), rng.normal(size=3).astype(np.float32))
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(data, d):
+        out, state = [], np.zeros(h)
+        for byte in data:
+            x, s = model.embed[d, byte] @ model.project[d, :e] + model.project[d, e], state @ model.recur[d]
+            z, r = sigmoid(x[:h] + s[:h]), sigmoid(x[h : 2 * h] + s[h : 2 * h])
+            new = np.tanh(x[2 * h :] + r * s[2 * h :])
+            state = new + z * (state - new)
+            out.append(state)
+        return out
+
+    def plain(data):
+        left, right = states(data, 0), states(data[::-1], 1)[::-1]
+        total = np.zeros(3)
+        for a, b in zip(left, right, strict=True):
+            z = np.exp(a @ model.emit[0] + b @ model.emit[1] + model.bias)
+            total += z / z.sum()
+        return total
+
+    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (1, 5, 128, 129, 300)]
+    want = []
+    for t in texts:
+        parts = [t[i : i + language_id.SPAN] for i in range(0, len(t), language_id.SPAN)]
+        want.append(sum(map(plain, parts)) / len(t))
+    assert np.allclose(language_id.classify(model, texts), want, atol=1e-4)
+
+
+def test_samples_are_bounded_and_deal_with_repeats(spark):
+    """One id and text repeated very often is one row of the fit; long texts give windows from anywhere."""
+    rows = [(1, "the river runs " * 2000, "en")] * 500 + [(i, f"der fluss nummer {chr(97 + i % 26)} ist lang", "de") for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    model = language_id.fit(docs, F.lit(True), per_language=20, train_chars=300)
+    assert model.languages == ["de", "en"]
+    assert [r.lang_pred for r in language_id.identify(docs.where("doc_id < 3").dropDuplicates(), model).orderBy("doc_id").collect()] == ["en", "de"]
+    from palimpsest.llm.common import window_of
+
+    text = "".join(chr(0x4E00 + i) for i in range(5000))
+    cut = [r.w for r in spark.range(1).select(*[window_of(F.lit(text), 100, s).alias("w") for s in (1,)]).collect()]
+    assert all(len(w) == 100 and w in text for w in cut) and not text.startswith(cut[0])

@@ -65,6 +65,58 @@ def test_shards_are_even_and_slots_gapless(spark):
         assert sorted(own["slot"]) == list(range(len(own)))
 
 
+def brute_leaves(rows, n_dims, shards):
+    """The leaf of each (dims..., size, tie) by recursion over sorted keys."""
+    steps, shift = (1 << sharding.VALUE_BITS) - 1, sharding.GROUP_BITS + sharding.ID_BITS
+    spread = lambda own, d: max(rows[i][d] for i in own) - min(rows[i][d] for i in own)
+    whole = [spread(range(len(rows)), d) or 1.0 for d in range(n_dims)]
+    out = {}
+
+    def part(own, first, count):
+        if count == 1 or not own:
+            out.update(dict.fromkeys(own, first))
+            return
+        d = max(range(n_dims), key=lambda d: spread(own, d) / whole[d])
+        low, extent = min(rows[i][d] for i in own), spread(own, d) or 1.0
+        keys = {i: (min(max(int((rows[i][d] - low) / extent * steps), 0), steps) << shift) + rows[i][-1] for i in own}
+        weight = {}
+        for i, k in keys.items():
+            weight[k] = weight.get(k, 0) + rows[i][-2]
+        half = (count + 1) // 2
+        rest, ordered = sum(weight.values()) * half / count, sorted(weight)
+        for k in ordered:
+            if weight[k] > rest or k == ordered[-1]:
+                break
+            rest -= weight[k]
+        cut = k + (rest > weight[k] / 2)
+        part([i for i in own if keys[i] < cut], first, half)
+        part([i for i in own if keys[i] >= cut], first + half, count - half)
+
+    part(list(range(len(rows))), 0, shards)
+    return out
+
+
+def test_leaves_against_brute_force(spark, monkeypatch):
+    rng = random.Random(13)
+    monkeypatch.setattr(sharding, "TOLERANCE", 0.0)
+    rows = [(float(rng.randint(0, 50)), rng.choice([1.0, 2.0, 9.0]), rng.randint(16, 400), rng.getrandbits(40)) for _ in range(400)]
+    rows += [(7.0, 1.0, 50, rng.getrandbits(24)) for _ in range(200)]
+    points = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i long, a double, b double, size long, _tie long").repartition(3)
+    got = {r.i: r["shard"] for r in sharding.grow(points, ["a", "b"], 7).collect()}
+    assert got == brute_leaves(rows, 2, 7) and len(set(got.values())) == 7
+
+
+def test_copies_share_a_shard(spark):
+    rng = random.Random(14)
+    rows = [(i, f"text {i} " * rng.randint(1, 30), rng.choice("ab"), rng.choice("xyz")) for i in range(300)]
+    rows += [(1000 + 5 * g + i, f"copy {g} " * 9, "a", "x") for g in range(20) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    code = lambda c: F.crc32(F.col(c).cast("binary"))
+    got = {r.doc_id: r["shard"] for r in sharding.shard_by_bytes(docs, 6, {"copies": code("text"), "length": F.length("text"), "lang": code("lang"), "source": code("source")}).collect()}
+    together = sum(len({got[1000 + 5 * g + i] for i in range(4)}) == 1 for g in range(20))
+    assert together >= 15  # 5 cuts part at most 5 groups
+
+
 def test_shards_of_odd_rows(odd, none, odd_rows):
     dims = {"id": F.col("doc_id"), "n": F.col("n_chars")}
     got = sharding.shard_by_bytes(odd, 40, dims).collect()
