@@ -32,6 +32,14 @@ def require_some(df: DataFrame, message: str) -> None:
         raise IntegrityError(message)
 
 
+def the_row(df: DataFrame, message: str):
+    """The row that a point lookup finds; raises where there is none or more than one."""
+    rows = df.limit(2).collect()
+    if len(rows) != 1:
+        raise LookupError(f"{message}: {'no row' if not rows else 'several rows'}")
+    return rows[0]
+
+
 def unmatched(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is set but unknown to the parent."""
     known = child

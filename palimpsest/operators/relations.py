@@ -78,6 +78,14 @@ def with_activity(entities: DataFrame, rows: DataFrame, key: Sequence[str], firs
     return out.withColumn("first_posted_at", F.coalesce(*lo)).withColumn("last_posted_at", F.coalesce(*hi)).drop("_lo", "_hi")
 
 
+def refreshed_activity(entities: DataFrame, changed: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``entities`` with the activity of the ``changed`` keys taken anew from ``rows``, nothing else touched (A5)."""
+    keys = changed.select(*key).distinct()
+    stale = entities.join(keys, list(key), "left_semi").drop("first_posted_at", "last_posted_at")
+    anew = with_activity(stale, rows.join(keys, list(key), "left_semi"), key)
+    return entities.join(keys, list(key), "left_anti").unionByName(anew.select(*entities.columns))
+
+
 def with_count(entities: DataFrame, rows: DataFrame, key: str, name: str) -> DataFrame:
     """``entities`` with the number of their rows, 0 without any."""
     counts = rows.groupBy(key).agg(F.count("*").alias("_n"))

@@ -36,6 +36,12 @@ class Archive:
     evidence: DataFrame
 
 
+def capture_id(archive: Archive, original_url: str, timestamp: str) -> int:
+    """The id of one capture; raises ``LookupError`` where it isn't in the archive."""
+    found = archive.captures.where((F.col("original_url") == original_url) & (F.col("timestamp") == timestamp))
+    return gates.the_row(found.select("capture_id"), f"capture {original_url} at {timestamp}").capture_id
+
+
 def inside(col, period: Period | None):
     return F.lit(True) if period is None else relations.within(col, period.start, period.end)
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from palimpsest.operators import gates
+from palimpsest.operators import gates, relations
 from palimpsest.operators.asof import nearest_asof
 from palimpsest.operators.closure import fixpoint
 from palimpsest.operators.merge import conflict_checked, dominant, latest_wins
@@ -79,6 +79,14 @@ def test_strict_conflicts_raise(spark):
         conflict_checked(df, ["k"], ["o"], strict=True).collect()
 
 
+def test_refresh_touches_changed_keys_only(spark):
+    rows = spark.createDataFrame([("a", "2004"), ("a", "2006"), ("b", "2005")], "k string, posted_at string")
+    old = spark.createDataFrame([("a", "1", "2"), ("b", "3", "4"), ("c", "5", "6")], "k string, first_posted_at string, last_posted_at string")
+    changed = spark.createDataFrame([("a",), ("a",), ("c",)], "k string")
+    got = relations.refreshed_activity(old, changed, rows, ["k"]).collect()
+    assert sorted(map(tuple, got)) == [("a", "2004", "2006"), ("b", "3", "4"), ("c", None, None)]
+
+
 def test_gates(spark):
     with pytest.raises(gates.IntegrityError):
         gates.require_none(spark.range(1), "rows")

@@ -51,6 +51,9 @@ def test_end_to_end(spark, tmp_path):
     assert (user.user_identity, user.username, user.post_count) == ("id:phpbb3:9", "Ana Maria", 1)
     assert a.forums.first().name == "Geral"
     restore.require_terminal_post(a, period)
+    assert restore.capture_id(a, f"{BASE}/index.php", "20050401000000") == a.captures.where(f"original_url = '{BASE}/index.php'").first().capture_id
+    with pytest.raises(LookupError):
+        restore.capture_id(a, f"{BASE}/index.php", "19990101000000")
 
     pages = restore.select_pages(a)
     assert {r.route: r.duplicates for r in pages.collect()} == {"phpbb3/topicos/5/index.html": 1, "phpbb3/index.html": 0}
