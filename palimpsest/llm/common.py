@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 from palimpsest.session import shared_folder
 
 
+#: For the C library's and Arrow's allocation in Python workers.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20)}
+
+
 def bounded_batches(spark: SparkSession, records: int = 2_000, size: str = "16m") -> None:
     """Arrow batches of at most this many records and bytes, where the session has Spark's defaults.
 
     A task holds a batch on either side of the pipe to its worker; texts make full batches large.
+    Workers that start from now on give large blocks back to the machine as soon as they are free.
     """
+    for key, own in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(key, own)
     for key, usual, own in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", str(records)), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", size)):
         if spark.conf.get(key, None) == usual:
             spark.conf.set(key, own)

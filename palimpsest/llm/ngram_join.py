@@ -48,7 +48,7 @@ from palimpsest.llm.spans import of_document, same_document
 
 SHINGLE, PERCENT = 5, 80
 #: Shingles that a task holds at once; those of one bucket; bytes of text for each, about.
-BLOCK_TOKENS, BUCKET_TOKENS, TEXT_BYTES = 1_000_000, 1_000_000, 6
+BLOCK_TOKENS, BUCKET_TOKENS, TEXT_BYTES = 500_000, 1_000_000, 6
 LEAST_DF, FREQUENT = 4, 2_000_000
 #: Greatest l; elements of unknown frequency that a set shares with unrelated sets; what one more match leaves of those.
 LEVELS, PRIOR, DECAY = 16, 0.01, 0.5
@@ -258,7 +258,7 @@ def send(found: Iterator[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[
     for part in found:
         parts.append(part)
         held += len(part[0])
-        if held >= BLOCK_TOKENS // 4:
+        if held >= BLOCK_TOKENS // 2:
             yield from flush()
             parts, held = [], 0
     if parts:
