@@ -150,7 +150,7 @@ def snitz(root: Node, url: str) -> Page:
         if not date:
             continue
         who = links(tds[0], "pop_profile.asp")
-        ids = [a.attrs["name"] for a in tds[1].find("a") if a.attrs.get("name", "").isdigit()]
+        ids = [a.attrs["name"] for a in tds[1].find("a") if a.attrs.get("name", "").isdecimal()]
         body, rules = tds[1], tds[1].find("hr")
         if rules and rules[0].parent is not None:
             near = [c for c in rules[0].parent.children if isinstance(c, Node)]
@@ -182,7 +182,7 @@ def phpbb2(root: Node, url: str) -> Page:
     page = _board_page(root, url, title)
     for a in root.find("a"):
         table, row = a.up("table"), a.up("tr")
-        if not a.attrs.get("name", "").isdigit() or table is None or row is None or len(tds := cells(row)) < 2:
+        if not a.attrs.get("name", "").isdecimal() or table is None or row is None or len(tds := cells(row)) < 2:
             continue
         if body := tds[1].find("span", "largetext"):
             who = links(table, "profile.php?mode=viewprofile")
@@ -242,7 +242,7 @@ def community(root: Node, url: str) -> Page:
             break
     page.topic_title = re.sub(r"^Forum [^-]+ - ", "", title).strip() if (title := first_text(root.find("title"))) else None
     for box in root.find("div", "ForumPostArea"):
-        anchor = next((a for a in box.find("a") if a.attrs.get("name", "").isdigit()), None)
+        anchor = next((a for a in box.find("a") if a.attrs.get("name", "").isdecimal()), None)
         body = box.find("div", "ForumPostContentText")
         if anchor is None or not body:
             continue

@@ -236,12 +236,16 @@ def homepage(pages: DataFrame) -> DataFrame:
 def entity_pages(plan: DataFrame, archive: Archive) -> DataFrame:
     """(route, title, body): generated pages of topics, forums and users, posts in page order."""
     esc = escape_html
-    line = F.concat(F.lit("<article><h3>"), esc(F.col("author_name")), F.lit("</h3><time>"), esc(F.col("posted_at")), F.lit("</time><div>"), esc(F.col("body_text")), F.lit("</div></article>"))
+    # authors whose page is written too are links to it
+    name = esc(F.col("author_name"))
+    author = F.when(F.col("author_page").isNotNull(), F.concat(F.lit('<a href="../../usuarios/'), F.col("author_page").cast("string"), F.lit('/index.html">'), name, F.lit("</a>"))).otherwise(name)
+    line = F.concat(F.lit("<article><h3>"), author, F.lit("</h3><time>"), esc(F.col("posted_at")), F.lit("</time><div>"), esc(F.col("body_text")), F.lit("</div></article>"))
     joined = lambda *order: relations.joined_in_order(order, line)
     kinds = {k: plan.where(F.col("kind") == k) for k in ("topicos", "foruns", "usuarios")}
-    of_topics = archive.posts.join(kinds["topicos"].select("era", F.col("id").alias("topic_id")), ["era", "topic_id"], "left_semi").groupBy("era", "topic_id").agg(F.max("topic_title").alias("title"), joined("posted_at", "identity_sha256").alias("body")).select("era", F.lit("topicos").alias("kind"), F.col("topic_id").alias("id"), "title", "body")
     people = archive.users.join(kinds["usuarios"].select("era", F.col("id").alias("historical_id")), ["era", "historical_id"], "left_semi")
-    of_users = archive.posts.drop("era", "historical_id").join(people.select("user_identity", "era", "historical_id", "username"), "user_identity").groupBy("era", "historical_id", "username").agg(joined("posted_at", "identity_sha256").alias("body")).select("era", F.lit("usuarios"), "historical_id", "username", "body")
+    posts = archive.posts.drop("historical_id").join(people.select("user_identity", F.col("historical_id").alias("author_page")), "user_identity", "left")
+    of_topics = posts.join(kinds["topicos"].select("era", F.col("id").alias("topic_id")), ["era", "topic_id"], "left_semi").groupBy("era", "topic_id").agg(F.max("topic_title").alias("title"), joined("posted_at", "identity_sha256").alias("body")).select("era", F.lit("topicos").alias("kind"), F.col("topic_id").alias("id"), "title", "body")
+    of_users = posts.drop("era").join(people.select("user_identity", "era", "historical_id", "username"), "user_identity").groupBy("era", "historical_id", "username").agg(joined("posted_at", "identity_sha256").alias("body")).select("era", F.lit("usuarios"), "historical_id", "username", "body")
     item = F.concat(F.lit("<li>"), esc(F.col("title")), F.lit("</li>"))
     rows = archive.topics.join(kinds["foruns"].select("era", F.col("id").alias("forum_id")), ["era", "forum_id"], "left_semi").groupBy("era", "forum_id").agg(relations.joined_in_order(["last_posted_at", "topic_id"], item).alias("body"))
     of_forums = rows.join(archive.forums.select("era", "forum_id", "name"), ["era", "forum_id"]).select("era", F.lit("foruns"), "forum_id", "name", "body")

@@ -22,7 +22,7 @@ RESULT = "timestamp string, original_url string, sha256 string, payload_digest s
 def retry_delay(headers: dict[str, str], attempt: int) -> float:
     """``Retry-After`` between 1 and 300 seconds, else doubling up to 120."""
     given = headers.get("Retry-After", headers.get("retry-after", ""))
-    return float(min(300, max(1, int(given)))) if given.isdigit() else float(min(120, 2**attempt))
+    return float(min(300, max(1, int(given)))) if given.isdecimal() else float(min(120, 2**attempt))
 
 
 def pending(inventory: DataFrame, manifest: DataFrame, on: tuple[str, ...] = ("timestamp", "original_url")) -> DataFrame:

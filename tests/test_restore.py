@@ -137,6 +137,10 @@ def test_a_whole_site(spark, tmp_path):
     targets = site.selectExpr("path AS target").union(spark.createDataFrame([(rewrite.SEARCH_PAGE,)], "target string"))
     problems = {(r.reference.rpartition("#")[2], r.problem) for r in rewrite.output_problems(rendered, targets, site).collect()}
     assert problems == {("nope", "anchor")}
+    generated = restore.entity_files(made).withColumnRenamed("path", "route")
+    assert rewrite.output_problems(generated, targets.union(generated.select("route"))).count() == 0
+    topics = restore.entity_pages(spark.createDataFrame([("phpbb3", "topicos", 5), ("phpbb3", "usuarios", 10)], "era string, kind string, id long"), a)
+    assert '<a href="../../usuarios/10/index.html">Ana</a>' in topics.where("kind = 'topicos'").first().body
     bad = spark.createDataFrame([("a/b.html", "<a href='http://x/'>1</a><img src='../../c'><a href='gone.html'>2</a><form action='http://y/'></form><p style='a:image-set(x)'></p><svg><script></script></svg>")], "route string, html string")
     sheet = spark.createDataFrame([("r/s.css", bytearray(b"a{b:url(http://z/)}"))], "path string, content binary")
     found = sorted(r.problem for r in rewrite.output_problems(bad, targets, sheet).collect())
