@@ -30,7 +30,7 @@ from palimpsest.llm.common import bounded_batches, read, release_memory
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A pre-token never crosses from one of these chunks into the next.
 CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-CACHE_ENTRIES = 50_000
+CACHE_ENTRIES = 80_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -48,10 +48,12 @@ class Recent:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, keys: set[str]) -> set[str]:
-        """The keys that are in neither generation; the others are young afterwards."""
+    def age(self) -> None:
         if len(self.young) > CACHE_ENTRIES:
             self.old, self.young = self.young, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys that are in neither generation; the others are young afterwards."""
         lacking = keys - self.young.keys()
         again = lacking & self.old.keys()
         self.young.update((k, self.old[k]) for k in again)
@@ -140,28 +142,37 @@ class SegmentTreeBPE:
             at = at >> 1
             high[rows, at] = np.minimum(low[rows, 2 * at], low[rows, 2 * at + 1])
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Put the ids of new pre-tokens in the cache."""
+    def learn(self, words: Iterable[str], into: dict[str, bytes]) -> None:
+        """Put the ids of new pre-tokens in a cache."""
         by_width: dict[int, list[str]] = {}
         for w in words:
-            n = len(w.encode())
+            n = len(w) if w.isascii() else len(w.encode())
             if n == 1:
-                self.words.young[w] = self.of_byte[w.encode()[0]].astype("<u4").tobytes()
+                into[w] = self.of_byte[w.encode()[0]].astype("<u4").tobytes()
             else:
                 by_width.setdefault(1 << (n - 1).bit_length(), []).append(w)
         for width, group in by_width.items():
-            step = max(1, (1 << 18) // width)
+            step = max(1, (1 << 19) // width)
             for i in range(0, len(group), step):
                 part = group[i : i + step]
-                self.words.young.update(zip(part, self.merge_all([w.encode() for w in part], width), strict=True))
+                into.update(zip(part, self.merge_all([w.encode() for w in part], width), strict=True))
 
     def encode_plain(self, texts: list[str]) -> list[bytes]:
         """Ids of texts in which special tokens' strings don't count."""
         split = [CHUNKS.findall(t) for t in texts]
-        fine = {c: self.fine.findall(c) for c in self.chunks.missing(set().union(*split))}
-        self.learn(self.words.missing(set().union(*fine.values())))
+        self.chunks.age()
+        simple, fine = [], {}
+        for c in self.chunks.missing(set().union(*split)):
+            # letters, with a space before them or without, are one pre-token
+            if c.isalpha() or (c[0] == " " and c[1:].isalpha()):
+                simple.append(c)
+            else:
+                fine[c] = self.fine.findall(c)
+        self.learn(simple, self.chunks.young)
+        self.words.age()
+        self.learn(self.words.missing(set().union(*fine.values())), self.words.young)
         word = self.words.young.__getitem__
-        self.chunks.young.update((c, word(ws[0]) if len(ws) == 1 else b"".join(map(word, ws))) for c, ws in fine.items())
+        self.chunks.young.update((c, b"".join(map(word, ws))) for c, ws in fine.items())
         get = self.chunks.young.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
@@ -183,7 +194,7 @@ def load(path: str) -> SegmentTreeBPE:
     return SegmentTreeBPE(path)
 
 
-def in_slices(texts: list[str], chars: int = 1 << 20) -> Iterator[list[str]]:
+def in_slices(texts: list[str], chars: int = 1 << 21) -> Iterator[list[str]]:
     """Consecutive runs of texts of about ``chars`` characters, so that memory stays bounded."""
     own: list[str] = []
     size = 0
