@@ -30,7 +30,7 @@ from palimpsest.llm.common import bounded_batches, read, release_memory
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A pre-token never crosses from one of these chunks into the next.
 CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-CACHE_ENTRIES = 80_000
+CACHE_ENTRIES = 30_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -152,7 +152,7 @@ class SegmentTreeBPE:
             else:
                 by_width.setdefault(1 << (n - 1).bit_length(), []).append(w)
         for width, group in by_width.items():
-            step = max(1, (1 << 19) // width)
+            step = max(1, (1 << 17) // width)
             for i in range(0, len(group), step):
                 part = group[i : i + step]
                 into.update(zip(part, self.merge_all([w.encode() for w in part], width), strict=True))
@@ -194,7 +194,7 @@ def load(path: str) -> SegmentTreeBPE:
     return SegmentTreeBPE(path)
 
 
-def in_slices(texts: list[str], chars: int = 1 << 21) -> Iterator[list[str]]:
+def in_slices(texts: list[str], chars: int = 1 << 19) -> Iterator[list[str]]:
     """Consecutive runs of texts of about ``chars`` characters, so that memory stays bounded."""
     own: list[str] = []
     size = 0
