@@ -30,7 +30,8 @@ from palimpsest.llm.common import bounded_batches, read, release_memory
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A pre-token never crosses from one of these chunks into the next.
 CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-CACHE_ENTRIES = 30_000
+#: Pre-tokens that a generation of a cache holds, and characters that are encoded at once; a quarter as many leaves.
+CACHE_ENTRIES, SLICE = 150_000, 1 << 22
 NONE = np.iinfo(np.int64).max
 
 
@@ -42,14 +43,15 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Recent:
-    """A cache in two generations: what goes unused while ``CACHE_ENTRIES`` others come in is forgotten."""
+    """A cache in two generations: what goes unused while ``limit`` others come in is forgotten."""
 
-    def __init__(self) -> None:
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def age(self) -> None:
-        if len(self.young) > CACHE_ENTRIES:
+        if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
 
     def missing(self, keys: set[str]) -> set[str]:
@@ -63,7 +65,7 @@ class Recent:
 class SegmentTreeBPE:
     """Encoder and decoder for one byte-level BPE vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES, chars: int = SLICE):
         import regex
 
         with open(path, encoding="utf-8") as f:
@@ -86,7 +88,8 @@ class SegmentTreeBPE:
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in merges], np.int64)
-        self.words, self.chunks = Recent(), Recent()
+        self.words, self.chunks = Recent(entries), Recent(entries)
+        self.leaves = chars // 4
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair; NONE where there is no such merge or no neighbour."""
@@ -152,7 +155,7 @@ class SegmentTreeBPE:
             else:
                 by_width.setdefault(1 << (n - 1).bit_length(), []).append(w)
         for width, group in by_width.items():
-            step = max(1, (1 << 17) // width)
+            step = max(1, self.leaves // width)
             for i in range(0, len(group), step):
                 part = group[i : i + step]
                 into.update(zip(part, self.merge_all([w.encode() for w in part], width), strict=True))
@@ -190,11 +193,11 @@ class SegmentTreeBPE:
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> SegmentTreeBPE:
-    return SegmentTreeBPE(path)
+def load(path: str, entries: int = CACHE_ENTRIES, chars: int = SLICE) -> SegmentTreeBPE:
+    return SegmentTreeBPE(path, entries, chars)
 
 
-def in_slices(texts: list[str], chars: int = 1 << 19) -> Iterator[list[str]]:
+def in_slices(texts: list[str], chars: int = SLICE) -> Iterator[list[str]]:
     """Consecutive runs of texts of about ``chars`` characters, so that memory stays bounded."""
     own: list[str] = []
     size = 0
@@ -208,17 +211,20 @@ def in_slices(texts: list[str], chars: int = 1 << 19) -> Iterator[list[str]]:
         yield own
 
 
-def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Encode and decode every text: id, n_tokens, both digests and, with ``keep_ids``, ids and decoded text."""
+def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, entries: int = CACHE_ENTRIES, chars: int = SLICE) -> DataFrame:
+    """Encode and decode every text: id, n_tokens, both digests and, with ``keep_ids``, ids and decoded text.
+
+    ``entries`` and ``chars`` bound a worker's memory, never the result.
+    """
     bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * keep_ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load(tokenizer)
+        model = load(tokenizer, entries, chars)
         for pdf in batches:
             out = []
-            for texts in in_slices([t or "" for t in pdf["text"]]):
+            for texts in in_slices([t or "" for t in pdf["text"]], chars):
                 for ids in model.encode(texts):
                     decoded = model.decode_bytes(ids).decode("utf-8", "replace")
                     row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())

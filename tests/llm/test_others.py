@@ -40,7 +40,8 @@ def test_cache_generations(pair, monkeypatch):
     ours, _ = pair
     texts = odd_texts()[:200]
     want = ours.encode(texts)
-    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    monkeypatch.setattr(ours.words, "limit", 3)
+    monkeypatch.setattr(ours.chunks, "limit", 3)
     assert [x for t in texts for x in ours.encode([t])] == want
 
 
