@@ -39,7 +39,8 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(docs, bpe.production_tokenizer())
+    # less memory for caches than alone: executors still hold what the stages before took
+    return bpe.encode_decode(docs, bpe.production_tokenizer(), entries=30_000, chars=1 << 19)
 
 
 STAGES = [
