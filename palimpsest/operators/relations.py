@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: Media types of pages and of style sheets.
 HTML = ("text/html", "application/xhtml+xml")
 CSS = "text/css"
+#: Rows that one task joins and merges; more rows make more tasks, not larger ones.
+TASK_ROWS = 1 << 19
 
 
 def role(mimetype: Column) -> Column:
@@ -53,8 +55,15 @@ def merge_users(rows: DataFrame, identity: str, place: Sequence[str], names: Seq
 
 
 def provenance(entities: DataFrame, bridge: DataFrame, key: str) -> DataFrame:
-    """The distinct rows of ``bridge`` whose entity exists."""
-    return bridge.join(entities.select(key).distinct(), key, "left_semi").distinct()
+    """The distinct rows of ``bridge`` whose entity exists.
+
+    ``bridge`` is counted first (of files, footers only): left alone, Spark merges its shuffle to about
+    a task for each core, however many rows that is.  A semi-join would be pushed below the
+    repartition, whose number Spark then doesn't keep.
+    """
+    spark = bridge.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, -(-bridge.count() // TASK_ROWS))
+    return bridge.repartition(n, key).join(entities.select(key).repartition(n, key).distinct(), key).distinct()
 
 
 def proofs(entities: DataFrame, bridge: DataFrame, captures: DataFrame, key: str, capture: str) -> DataFrame:

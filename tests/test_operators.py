@@ -87,6 +87,16 @@ def test_refresh_touches_changed_keys_only(spark):
     assert sorted(map(tuple, got)) == [("a", "2004", "2006"), ("b", "3", "4"), ("c", None, None)]
 
 
+def test_provenance_bounds_the_rows_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(relations, "TASK_ROWS", 100, raising=False)
+    pairs = [(i % 800, i % 1600) for i in range(4000)] + [(None, 1)]
+    posts = spark.createDataFrame([(k,) for k in range(0, 900, 2)] * 2 + [(None,)], "post long")
+    found = relations.provenance(posts, spark.createDataFrame(pairs, "post long, capture long"), "post")
+    tasks = found.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.post, r.capture) for r in tasks) == sorted({(a, b) for a, b in pairs if a is not None and a % 2 == 0})
+    assert max(sum(r.task == t for r in tasks) for t in {r.task for r in tasks}) <= 100
+
+
 def test_gates(spark):
     with pytest.raises(gates.IntegrityError):
         gates.require_none(spark.range(1), "rows")
