@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
-import ctypes
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.session import shared_folder
-
-
-#: For the C library's and Arrow's allocation in Python workers.
-WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20)}
+from palimpsest.session import lean_workers, shared_folder
+from palimpsest.session import release_memory as release_memory
 
 
 def bounded_batches(spark: SparkSession, records: int = 2_000, size: str = "16m") -> None:
     """Arrow batches of at most this many records and bytes, where the session has Spark's defaults.
 
     A task holds a batch on either side of the pipe to its worker; texts make full batches large.
-    Workers that start from now on give large blocks back to the machine as soon as they are free.
     """
-    for key, own in WORKER_MEMORY.items():
-        spark.sparkContext.environment.setdefault(key, own)
+    lean_workers(spark)
     for key, usual, own in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", str(records)), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", size)):
         if spark.conf.get(key, None) == usual:
             spark.conf.set(key, own)
@@ -73,12 +66,3 @@ def window_of(text: Column, chars: int, seed: int) -> Column:
     """
     start = F.pmod(F.xxhash64(text, F.lit(seed)), F.length(text) - chars + 1).cast("int")
     return F.when(F.length(text) <= chars, text).otherwise(F.substring(text, start + 1, F.lit(chars)))
-
-
-def release_memory() -> None:
-    """Give what a Python worker has freed back to the machine; workers outlive their tasks."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import dates, encoding, identity, markup, urls
 from palimpsest.plans.registry import Tables, query
 from palimpsest.profile import FORUM, Era, SiteProfile
+from palimpsest.session import lean_workers
 
 #: The synthetic pages as a site: every host in scope, languages as eras.
 PAGES = SiteProfile(hosts=(), eras=(Era("a", ("/en/",), "a"), Era("b", ("/fr/", "/de/"), "b")), session_keys=("utm_source", "ref"), start_key="page")
@@ -18,6 +19,7 @@ HOST = r"regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)), '
 SELECT host, 'external' AS kind, count(*) AS pages, CAST(sum(len(links)) AS BIGINT) AS links FROM p GROUP BY host""")
 def link_extract(t: Tables) -> DataFrame:
     """References of all pages by host and kind."""
+    lean_workers(t.spark)
     refs = t.pages.select(urls.host(F.col("url")).alias("host"), markup.page_references()(F.col("html"), F.col("url")).alias("refs"))
     links = refs.select("host", F.explode("refs").alias("r"))
     counts = links.groupBy("host", urls.resource_kind(F.col("r.url")).alias("kind")).agg(F.count("*").alias("links"))

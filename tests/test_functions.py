@@ -1,6 +1,7 @@
 import hashlib
 import base64
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -100,6 +101,20 @@ def test_names():
     assert identity.fold_name(" Straße ÁÉ ") == "strasse ae"
 
 
+@pytest.mark.parametrize("kind, text", [("page_references", '<a href="/x">x</a><img src="y.png">'), ("stylesheet_references", "a{b:url(/x)} @import 'y.css';")])
+def test_references_are_read_once_in_small_pieces(spark, kind, text):
+    column = getattr(markup, kind)()
+    rows = [(text, "http://e.org/a/"), (None, "http://e.org/"), (text, None), ("", "http://e.org/")]
+    frame = spark.createDataFrame(rows, "text string, url string")
+    found = frame.select("url", column(F.col("text"), F.col("url")).alias("refs"))
+    exploded = found.select("url", F.explode("refs").alias("r")).groupBy("r.url").count()
+    assert exploded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("ArrowEvalPython [") == 1
+    assert sorted(len(r.refs) for r in found.collect()) == [0, 0, 0, 2]
+    assert {r.url for r in exploded.collect()} == {"http://e.org/x", "http://e.org/a/y.png" if "href" in text else "http://e.org/a/y.css"}
+    pieces = list(column.func(iter([(pa.array([text] * 300), pa.array(["http://e.org/"] * 300))])))
+    assert sum(map(len, pieces)) == 300 and max(map(len, pieces)) <= 64
+
+
 def test_css_and_srcset():
     assert markup.css_references("/* url(a) */ b{c:url( 'd.png' )} @import \"e.css\"; f{g:'url(h)'}") == ["d.png", "e.css"]
     assert markup.rewrite_css("a{b:url(x)} @import 'y';", {}.get) == 'a{b:url("data:,")} '
